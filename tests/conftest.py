@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import time
 
 import pytest
 from pyspark.sql import SparkSession
@@ -18,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     )
     session = builder.getOrCreate()
@@ -26,6 +28,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture(scope="session")
-def data():
-    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+@pytest.fixture
+def console(capfd):
+    """Waits for a text on the console: the JVM writes it a moment after a query ends."""
+
+    def wait_for(text, seconds=20):
+        seen, end = "", time.monotonic() + seconds
+        while text not in seen and time.monotonic() < end:
+            time.sleep(0.2)
+            seen += capfd.readouterr().out
+        return seen
+
+    return wait_for

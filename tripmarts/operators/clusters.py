@@ -86,6 +86,18 @@ def cluster_metrics(trips: DataFrame, cluster: str = "cluster") -> DataFrame:
     )
 
 
+def cluster_stats_from_cells(cells: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """``cluster_stats`` from time cells with coordinates and a cluster."""
+    trips = F.sum("trips")
+    return cells.groupBy(cluster).agg(
+        trips.alias("trip_count"),
+        (F.sum(F.col("latitude") * F.col("trips")) / trips).alias("center_lat"),
+        (F.sum(F.col("longitude") * F.col("trips")) / trips).alias("center_lon"),
+        mean_of("fare_amount").alias("avg_fare"),
+        mean_of("total_revenue").alias("avg_revenue"),
+    )
+
+
 def cluster_metrics_from_cells(cells: DataFrame, cluster: str = "cluster") -> DataFrame:
     """``cluster_metrics`` from time cells that carry a cluster: no second scan of the trips."""
     hours = F.when(F.col("pickup_hour").isNotNull(), F.col("trips"))
@@ -162,7 +174,8 @@ def hotspot_report(
     Every input row here is a time cell or a cluster, never a trip.
     """
     ranked = rank_clusters(cluster_metrics_from_cells(cells, cluster), by, n, cluster)
-    return ranked.join(cluster_patterns(cells, cluster), cluster).join(centers, cluster, "left")
+    described = ranked.join(cluster_patterns(cells, cluster), cluster).join(centers, cluster, "left")
+    return described.orderBy("rank")
 
 
 def cluster_distribution(stats: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -180,7 +193,8 @@ def fare_tiers(stats: DataFrame, cluster: str = "cluster") -> DataFrame:
 
 def map_points(metrics: DataFrame, centers: DataFrame, n: int = 10, cluster: str = "cluster") -> DataFrame:
     """Map table: the ``n`` largest clusters that have a centre, with marker size and colour."""
-    return rank_clusters(metrics, "count", n, cluster).join(centers, cluster).select(
+    largest = rank_clusters(metrics, "count", n, cluster).join(centers, cluster).orderBy("rank")
+    return largest.select(
         cluster,
         *POINT,
         "trip_count",

@@ -18,12 +18,14 @@ from pyspark.sql import types as T
 
 from tripmarts.functions.geo import Center, silhouette_band
 from tripmarts.operators.clusters import POINT, assign_nearest
+from tripmarts.operators.joins import attach_centroids
 from tripmarts.operators.sampling import hash_sample, in_test_part
 from tripmarts.runtime import cut_lineage
 from tripmarts.schemas import (
     CLUSTERS,
     ELBOW_FRACTION,
     ELBOW_KS,
+    LOCATION,
     MAX_ITER,
     SEED,
     TEST_FRACTION,
@@ -34,9 +36,23 @@ WEIGHT = "point_rows"
 
 
 def distinct_points(df: DataFrame, columns: Sequence[str] = POINT, *, by: Sequence[str] = ()) -> DataFrame:
-    """Each distinct point without NULLs and its row count; counted before the shuffle."""
-    points = df.na.drop(subset=list(columns))
-    return points.groupBy(*by, *columns).agg(F.count("*").cast("double").alias(WEIGHT))
+    """Each distinct point without NULLs and its row count; counted before the shuffle.
+
+    Rows that are weighted points already have their weights added up.
+    """
+    rows = F.sum(WEIGHT) if WEIGHT in df.columns else F.count("*").cast("double")
+    return df.na.drop(subset=list(columns)).groupBy(*by, *columns).agg(rows.alias(WEIGHT))
+
+
+def zone_points(trips: DataFrame, centroids: DataFrame, location: str = LOCATION) -> DataFrame:
+    """``distinct_points`` of trips whose coordinates are their zone's.
+
+    Counts per location first, so the join sees one row per location. Time cells
+    serve as well as trips: each stands for ``trips`` rows.
+    """
+    rows = F.sum("trips") if "trips" in trips.columns else F.count("*")
+    counts = trips.groupBy(location).agg(rows.cast("double").alias(WEIGHT))
+    return distinct_points(attach_centroids(counts, centroids, location))
 
 
 def with_vector(df: DataFrame, columns: Sequence[str], invalid: str = "error") -> DataFrame:
@@ -75,7 +91,10 @@ def fit(
 def fit_all_rows(
     df: DataFrame, k: int = CLUSTERS, columns: Sequence[str] = POINT, **options
 ) -> KMeansModel:
-    """Fit that counts every row: one pass over the rows, then iterations over distinct points."""
+    """Fit that counts every row: one pass over the rows, then iterations over distinct points.
+
+    Takes rows or weighted points, as do ``elbow`` and ``silhouette``.
+    """
     points = cut_lineage(distinct_points(df, columns))
     return fit(points, k, columns, weight=WEIGHT, **options)
 
@@ -146,9 +165,9 @@ def sampled_elbow(df: DataFrame, keys: Sequence[str], ks: Sequence[int] = ELBOW_
     return elbow(df, ks, keys=keys, fraction=ELBOW_FRACTION, **options)
 
 
-def wssse(assigned: DataFrame, weight: str | None = None) -> DataFrame:
+def wssse(assigned: DataFrame) -> DataFrame:
     """One row: rows with a centre, and their summed squared distance."""
-    rows = F.lit(1.0) if weight is None else F.col(weight)
+    rows = F.col(WEIGHT) if WEIGHT in assigned.columns else F.lit(1.0)
     return assigned.filter(F.col("distance").isNotNull()).agg(
         F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("n_rows"),
         F.sum(F.col("distance") * rows).alias("wssse"),
@@ -161,22 +180,19 @@ def silhouette(
     *,
     cluster: str = "cluster",
     by: Sequence[str] = (),
-    weight: str | None = None,
 ) -> DataFrame:
     """Mean silhouette of all rows under squared Euclidean distance, and its band.
 
     A point's mean squared distance to a cluster follows from the cluster's row
     count, coordinate sums and sum of squared norms, so no pairs are formed. The
     rows collapse to distinct points first, and the sums come to each point in one
-    array with an entry per cluster. ``by`` gives one result per value (such as
-    train and test).
+    array with an entry per cluster. ``by`` gives one result per value of a column
+    with few values (such as train and test).
     """
-    if weight is None:
-        assigned = distinct_points(assigned.filter(F.col(cluster).isNotNull()), columns, by=[*by, cluster])
-        weight = WEIGHT
-    w = F.col(weight)
+    points = distinct_points(assigned.filter(F.col(cluster).isNotNull()), columns, by=[*by, cluster])
+    w = F.col(WEIGHT)
     norm = _dot([F.col(c) for c in columns], [F.col(c) for c in columns])
-    sums = assigned.groupBy(*by, cluster).agg(
+    sums = points.groupBy(*by, cluster).agg(
         F.sum(w).alias("n"),
         F.sum(w * norm).alias("sq"),
         *[F.sum(w * F.col(c)).alias(f"s{i}") for i, c in enumerate(columns)],
@@ -184,10 +200,10 @@ def silhouette(
     profile = F.struct(F.col(cluster).alias("id"), "n", "sq", *[f"s{i}" for i in range(len(columns))])
     if by:
         groups = sums.groupBy(*by).agg(F.collect_list(profile).alias("_clusters"))
-        points = assigned.join(F.broadcast(groups), list(by))
+        points = points.join(groups, list(by))
     else:
         groups = sums.agg(F.collect_list(profile).alias("_clusters"))
-        points = assigned.withColumn("_clusters", groups.scalar())
+        points = points.withColumn("_clusters", groups.scalar())
 
     def mean_distance(c: Column) -> Column:
         dot = _dot([F.col(name) for name in columns], [c[f"s{i}"] for i in range(len(columns))])
@@ -243,7 +259,7 @@ def validate(
     points = cut_lineage(distinct_points(parted, columns, by=["_test"]))
     model = fit(points.filter(~F.col("_test")), k, columns, weight=WEIGHT, seed=seed, **options)
     assigned = assign_nearest(points, centers_of(model), columns)
-    scores = silhouette(assigned, columns, by=["_test"], weight=WEIGHT)
+    scores = silhouette(assigned, columns, by=["_test"])
     costs = assigned.groupBy("_test").agg(
         F.sum(F.col("distance") * F.col(WEIGHT)).alias("wssse")
     )

@@ -114,7 +114,7 @@ def labelled_hotspots(
 ) -> DataFrame:
     """Chart table: rank, zone label, trips, and revenue in millions. Labels only the n rows."""
     ranked = add_zone_label(top_locations(stats, by, n, location), zones, location)
-    return ranked.select(
+    return ranked.orderBy("rank").select(
         "rank",
         location,
         "zone_label",

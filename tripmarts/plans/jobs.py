@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripmarts.operators import clusters, kmeans, locations, profile
 from tripmarts.operators.cleaning import clean_trips, cleaning_report, cleaning_summary
 from tripmarts.operators.features import add_location_vector, add_trip_features
-from tripmarts.operators.joins import join_zones
+from tripmarts.operators.joins import attach_centroids, join_zones
 from tripmarts.operators.sampling import hash_sample, random_sample
 from tripmarts.schemas import CLUSTERS, ELBOW_KS, LOCATION, SEED
 from tripmarts.sources import tables
@@ -58,7 +58,7 @@ def features(spark: SparkSession, cleaned: str, target: str, zones: str | None =
 
 
 def hotspots(spark: SparkSession, featured: str, target: str, reports: str, n: int = 20) -> None:
-    """Location statistics, rankings and time patterns from one scan of the trips."""
+    """Time cells, location statistics, rankings and patterns from one scan of the trips."""
     df = tables.read_table(spark, featured)
     tables.write_table(locations.time_cells(df), f"{target}/time_cells")
     cells = tables.read_table(spark, f"{target}/time_cells")
@@ -76,48 +76,66 @@ def hotspots(spark: SparkSession, featured: str, target: str, reports: str, n: i
 
 def cluster(
     spark: SparkSession,
-    featured: str,
+    cells_path: str,
     centroids: str,
-    target: str,
+    model_path: str,
     reports: str,
-    *,
-    keys: Sequence[str],
     k: int = CLUSTERS,
     ks: Sequence[int] = ELBOW_KS,
 ) -> KMeansModel:
-    """Elbow table, validation, final model, clustered trips and cluster reports."""
-    df = tables.read_table(spark, featured)
-    points = tables.read_centroids(spark, centroids)
-    located = clusters.attach_clusters(df, points)
-    tables.write_report(kmeans.elbow(located, ks, selected=k), f"{reports}/elbow")
-    report, _ = kmeans.validate(located, keys, k)
-    tables.write_report(report, f"{reports}/validation")
-
-    model = kmeans.fit_all_rows(located, k)
-    kmeans.save_model(model, f"{target}/model")
+    """Elbow table, model over all trips, its quality and its cluster statistics.
+
+    Works on the time cells: every trip counts, and no trip is read again.
+    """
+    cells = tables.read_table(spark, cells_path)
+    zones = tables.read_centroids(spark, centroids)
+    points = kmeans.zone_points(cells, zones)
+    tables.write_report(kmeans.elbow(points, ks, selected=k), f"{reports}/elbow")
+    model = kmeans.fit_all_rows(points, k)
+    kmeans.save_model(model, model_path)
     centers = kmeans.centers_of(model)
-    zones = clusters.zone_clusters(points, centers)
-    tables.write_table(
-        tables.clustered_trips(clusters.attach_clusters(df, zones)), f"{target}/clustered_trips"
-    )
-    clustered = tables.read_table(spark, f"{target}/clustered_trips")
-    tables.write_report(clusters.cluster_stats(clustered), f"{reports}/cluster_statistics")
-    tables.write_report(kmeans.silhouette(clustered), f"{reports}/silhouette")
-    assigned = clusters.assign_nearest(clustered, centers)
+    assigned = clusters.assign_nearest(points, centers)
     tables.write_report(kmeans.wssse(assigned), f"{reports}/cost")
+    tables.write_report(kmeans.silhouette(assigned), f"{reports}/silhouette")
+    located = clusters.attach_clusters(cells, clusters.zone_clusters(zones, centers))
+    stats = clusters.cluster_stats_from_cells(located)
+    tables.write_report(stats, f"{reports}/cluster_statistics")
     tables.write_centers(kmeans.centers_table(spark, centers), f"{reports}/cluster_centers")
     return model
 
 
+def validate_clusters(
+    spark: SparkSession,
+    featured: str,
+    centroids: str,
+    reports: str,
+    keys: Sequence[str],
+    k: int = CLUSTERS,
+) -> None:
+    """Fit on a train part of the trips and report both parts."""
+    df = tables.read_table(spark, featured)
+    located = attach_centroids(df, tables.read_centroids(spark, centroids))
+    report, _ = kmeans.validate(located, keys, k)
+    tables.write_report(report, f"{reports}/validation")
+
+
+def assign_clusters(
+    spark: SparkSession, featured: str, centroids: str, model_path: str, target: str
+) -> None:
+    """Write the trips with their coordinates and the saved model's cluster."""
+    centers = kmeans.centers_of(kmeans.load_model(model_path))
+    zones = clusters.zone_clusters(tables.read_centroids(spark, centroids), centers)
+    df = clusters.attach_clusters(tables.read_table(spark, featured), zones)
+    tables.write_table(tables.clustered_trips(df), target)
+
+
 def cluster_hotspots(
-    spark: SparkSession, featured: str, centroids: str, model_path: str, target: str, reports: str
+    spark: SparkSession, cells_path: str, centroids: str, model_path: str, reports: str
 ) -> None:
     """Ranked clusters with peak hours, centres and patterns, for a saved model."""
     centers = kmeans.centers_of(kmeans.load_model(model_path))
     zones = clusters.zone_clusters(tables.read_centroids(spark, centroids), centers)
-    df = clusters.attach_clusters(tables.read_table(spark, featured), zones)
-    tables.write_table(locations.time_cells(df, "cluster"), f"{target}/cluster_cells")
-    cells = tables.read_table(spark, f"{target}/cluster_cells")
+    cells = clusters.attach_clusters(tables.read_table(spark, cells_path), zones)
     points = kmeans.centers_table(spark, centers)
     for by in clusters.RANKINGS:
         tables.write_report(

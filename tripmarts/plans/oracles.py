@@ -106,9 +106,9 @@ stats AS (
 )"""
 
 
-def stats_columns(digits: int = 4) -> str:
+def stats_columns() -> str:
     names = ["avg_fare", "total_revenue", "avg_distance", "avg_duration", "profit_score"]
-    doubles = ", ".join(f"round({name}, {digits}) AS {name}" for name in names)
+    doubles = ", ".join(f"round({name}, 4) AS {name}" for name in names)
     return f"PULocationID, trip_count, high_value_trips, {doubles}"
 
 
@@ -396,7 +396,7 @@ FROM valid JOIN centroids ON PULocationID = LocationID"""),
     ], "SELECT best.*, zones.* FROM best LEFT JOIN zones ON PULocationID = LocationID"),
     "order_location_stats": with_ctes(
         [ORDERS, featured("valid_orders"), location_stats("featured")],
-        f"SELECT {stats_columns(3)} FROM stats",
+        f"SELECT {stats_columns()} FROM stats",
     ),
     "order_hotspot_labels": with_ctes([
         ORDERS,
@@ -519,12 +519,16 @@ FROM best JOIN centers USING (cluster)"""),
         "cluster",
         10,
     )),
+    "distinct_points": with_ctes(ON_CLUSTERS, """
+SELECT latitude, longitude, CAST(count(*) AS DOUBLE) AS point_rows FROM clustered
+GROUP BY latitude, longitude"""),
     "wssse_pinned": with_ctes(ON_CLUSTERS, """
 SELECT count(*) AS n_rows, round(sum(distance), 6) AS wssse FROM clustered"""),
     "silhouette_pinned": with_ctes([*ON_CLUSTERS, SILHOUETTE], """
 SELECT n_rows, round(s, 6) AS silhouette,
        CASE WHEN s > 0.5 THEN 'excellent' WHEN s > 0.25 THEN 'good' WHEN s > 0 THEN 'weak' ELSE 'poor' END AS band
 FROM score"""),
+    "hash_split": "SELECT event_id AS trip_id FROM events",
     "stream_parse": with_ctes([TRIPS], TRIP_TEXT),
     "stream_scored": with_ctes([TRIPS, CENTROIDS, CENTER_TABLE, DISTANCES], """
 SELECT trip_id, PULocationID, latitude, longitude, cluster
@@ -538,3 +542,5 @@ ORDER BY trip_count DESC, PULocationID LIMIT 10"""),
 }
 ORACLES["zone_enrich_large"] = ORACLES["zone_enrich"]
 ORACLES["location_stats_from_cells"] = ORACLES["location_stats"]
+ORACLES["cluster_stats_from_cells"] = ORACLES["cluster_stats"]
+ORACLES["cluster_metrics_from_cells"] = ORACLES["cluster_metrics"]

@@ -84,6 +84,17 @@ def clustered_trips(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.attach_clusters(trips, zones)
 
 
+def location_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Time cells per location, computed once, with the pinned cluster of their zone."""
+    trips = features.add_revenue(features.add_time_features(valid_trips(spark, folder)))
+    zones = clusters.zone_clusters(star.nation_centroids(spark, folder), CENTERS)
+    return clusters.attach_clusters(cut_lineage(locations.time_cells(trips)), zones)
+
+
+def zone_points(spark: SparkSession, folder: str) -> DataFrame:
+    return kmeans.zone_points(valid_trips(spark, folder), star.nation_centroids(spark, folder))
+
+
 def trip_points(spark: SparkSession, folder: str) -> DataFrame:
     return joins.attach_centroids(
         valid_trips(spark, folder), star.nation_centroids(spark, folder)
@@ -322,7 +333,7 @@ def clean_location_stats(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def order_location_stats(spark: SparkSession, folder: str) -> DataFrame:
     trips = features.add_trip_features(valid_orders(spark, folder))
-    return rounded(locations.location_stats(trips), 3)
+    return rounded(locations.location_stats(trips))
 
 
 @query
@@ -407,6 +418,16 @@ def cluster_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics(spark, folder))
 
 
+@query
+def cluster_stats_from_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(clusters.cluster_stats_from_cells(location_cells(spark, folder)))
+
+
+@query
+def cluster_metrics_from_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(clusters.cluster_metrics_from_cells(location_cells(spark, folder)))
+
+
 @query
 def peak_hour(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.peak_hours(clustered_trips(spark, folder))
@@ -445,13 +466,13 @@ def rank_avg_fare(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def rank_combined(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(clusters.rank_clusters(metrics(spark, folder), "combined", 10))
+    # The maxima are read from the finished metrics, not from the trips again.
+    return rounded(clusters.rank_clusters(cut_lineage(metrics(spark, folder)), "combined", 10))
 
 
 @query
 def hotspot_report(spark: SparkSession, folder: str) -> DataFrame:
-    cells = cut_lineage(locations.time_cells(clustered_trips(spark, folder), "cluster"))
-    report = clusters.hotspot_report(cells, centers(spark))
+    report = clusters.hotspot_report(location_cells(spark, folder), centers(spark))
 
     def text(pattern: str) -> Column:
         """A map of at most 24 entries as key:value pairs in key order."""
@@ -490,40 +511,43 @@ def bar_feed(spark: SparkSession, folder: str) -> DataFrame:
 # ---- K-Means ------------------------------------------------------------------------
 
 
+@query
+def distinct_points(spark: SparkSession, folder: str) -> DataFrame:
+    return zone_points(spark, folder)
+
+
 @query
 def wssse_pinned(spark: SparkSession, folder: str) -> DataFrame:
-    points = kmeans.distinct_points(trip_points(spark, folder))
-    assigned = clusters.assign_nearest(points, CENTERS)
-    return rounded(kmeans.wssse(assigned, kmeans.WEIGHT), 6)
+    assigned = clusters.assign_nearest(zone_points(spark, folder), CENTERS)
+    return rounded(kmeans.wssse(assigned), 6)
 
 
 @query
 def silhouette_pinned(spark: SparkSession, folder: str) -> DataFrame:
-    assigned = clusters.assign_nearest(trip_points(spark, folder), CENTERS)
+    assigned = clusters.assign_nearest(zone_points(spark, folder), CENTERS)
     return rounded(kmeans.silhouette(assigned), 6)
 
 
 @query
 def kmeans_full(spark: SparkSession, folder: str) -> DataFrame:
+    """Fit on all trips, then statistics of the fitted clusters, from one scan."""
+    trips = features.add_revenue(features.add_time_features(valid_trips(spark, folder)))
+    cells = cut_lineage(locations.time_cells(trips))
     points = star.nation_centroids(spark, folder)
-    trips = joins.attach_centroids(valid_trips(spark, folder), points)
-    fitted = kmeans.centers_of(kmeans.fit_all_rows(trips, 5))
-    zones = clusters.zone_clusters(points, fitted)
-    located = clusters.attach_clusters(
-        features.add_revenue(valid_trips(spark, folder)), zones
-    )
-    return clusters.cluster_stats(located)
+    model = kmeans.fit_all_rows(kmeans.zone_points(cells, points), 5)
+    zones = clusters.zone_clusters(points, kmeans.centers_of(model))
+    return clusters.cluster_stats_from_cells(clusters.attach_clusters(cells, zones))
 
 
 @query
 def kmeans_centers(spark: SparkSession, folder: str) -> DataFrame:
-    model = kmeans.fit_all_rows(trip_points(spark, folder), 5)
+    model = kmeans.fit_all_rows(zone_points(spark, folder), 5)
     return kmeans.centers_table(spark, kmeans.centers_of(model))
 
 
 @query
 def kmeans_elbow(spark: SparkSession, folder: str) -> DataFrame:
-    return kmeans.elbow(trip_points(spark, folder), (5, 10, 15, 20), selected=10)
+    return kmeans.elbow(zone_points(spark, folder), (5, 10, 15, 20), selected=10)
 
 
 @query
@@ -547,10 +571,9 @@ def random_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Both parts put together again: every trip once."""
     train, test = sampling.hash_split(star.event_trips(spark, folder), ["trip_id"])
-    return train.select("trip_id", F.lit("train").alias("part")).unionByName(
-        test.select("trip_id", F.lit("test").alias("part"))
-    )
+    return train.unionByName(test).select("trip_id")
 
 
 # ---- streaming ----------------------------------------------------------------------
