@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import time
 
 import pytest
 from pyspark.sql import SparkSession
@@ -26,17 +25,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-@pytest.fixture
-def console(capfd):
-    """Waits for a text on the console: the JVM writes it a moment after a query ends."""
-
-    def wait_for(text, seconds=20):
-        seen, end = "", time.monotonic() + seconds
-        while text not in seen and time.monotonic() < end:
-            time.sleep(0.2)
-            seen += capfd.readouterr().out
-        return seen
-
-    return wait_for

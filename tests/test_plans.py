@@ -88,12 +88,3 @@ def test_silhouette_counts_points_once(spark):
     trips = queries.trip_points(spark, FOLDER)
     text = final_plan(kmeans.silhouette(clusters.assign_nearest(trips, queries.CENTERS)))
     assert "ReusedExchange" in text
-
-
-@pytest.mark.parametrize(
-    "name", sorted(set(queries.REGISTRY) - {n for n in queries.REGISTRY if n.startswith(("stream", "kmeans", "write"))})
-)
-def test_no_cross_joins_and_no_python(spark, name):
-    text = plan(queries.REGISTRY[name](spark, FOLDER))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
-        assert operator not in text
