@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmarts.functions.rules import all_of, coordinates_ok, times_ok, values_ok
+from tripmarts.operators.joins import BROADCAST_ROWS, is_small
+from tripmarts.runtime import cut_lineage
 from tripmarts.schemas import CITY_BOUNDS, DROPOFF, MAX_TRIP_HOURS, PICKUP, Bounds
 
 Rules = list[tuple[str, Column]]
@@ -52,6 +54,24 @@ def drop_duplicates(df: DataFrame, keys: Sequence[str] | None = None) -> DataFra
     )
 
 
+def drop_rare_duplicates(df: DataFrame, max_shared: int = BROADCAST_ROWS) -> DataFrame:
+    """Distinct rows, for large tables where few rows have copies.
+
+    Only the hashes of the rows are shuffled. Rows whose hash occurs once stay where
+    they are; the others, copies or not, are compared as a whole. Reads the table
+    three times in place of shuffling it. If more than ``max_shared`` hashes occur
+    twice, all rows are compared as in ``drop_duplicates``.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    counts = hashed.groupBy("_hash").agg(F.count("*").alias("_rows"))
+    shared = cut_lineage(counts.filter(F.col("_rows") > 1).select("_hash"))
+    if not is_small(shared, max_shared):
+        return df.dropDuplicates()
+    single = hashed.join(F.broadcast(shared), "_hash", "left_anti").select(*df.columns)
+    copies = hashed.join(F.broadcast(shared), "_hash", "left_semi").select(*df.columns)
+    return single.unionByName(copies.dropDuplicates())
+
+
 def trip_times(columns: Sequence[str]) -> tuple[str, str] | None:
     """The pickup and dropoff columns under either of their two usual names."""
     pickup = PICKUP if PICKUP in columns else "pickup_datetime"
@@ -79,12 +99,20 @@ def cleaning_rules(
     return rules
 
 
-def clean_trips(df: DataFrame, keys: Sequence[str] | None = None, **options) -> DataFrame:
+def clean_trips(
+    df: DataFrame,
+    keys: Sequence[str] | None = None,
+    rare_duplicates: bool = False,
+    **options,
+) -> DataFrame:
     """Apply every applicable rule as one filter, then remove duplicates.
 
-    ``options`` are those of ``cleaning_rules``.
+    ``options`` are those of ``cleaning_rules``. ``rare_duplicates`` picks
+    ``drop_rare_duplicates``, which runs its first pass at once.
     """
     kept = df.filter(all_of([rule for _, rule in cleaning_rules(df, **options)]))
+    if rare_duplicates and keys is None:
+        return drop_rare_duplicates(kept)
     return drop_duplicates(kept, keys)
 
 
@@ -161,19 +189,17 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole * 100).otherwise(0.0)
 
 
-def cleaning_summary(
-    df: DataFrame,
-    keys: Sequence[str] | None = None,
-    cleaned: DataFrame | None = None,
-    **options,
-) -> DataFrame:
-    """One row: rows before, after, removed, and the removed and kept percentages."""
-    counts = _counts(df, keys, cleaning_rules(df, **options), cleaned)
-    total, kept = F.col("_total"), F.col("_kept")
+def cleaning_summary(report: DataFrame) -> DataFrame:
+    """One row from a cleaning report: rows before, after, removed, and percentages."""
+    total = F.coalesce(F.max(F.when(F.col("step") == 1, F.col("rows_in"))), F.lit(0))
+    counts = report.agg(
+        total.alias("initial_row_count"), F.sum("rows_removed").alias("rows_removed")
+    )
+    initial, removed = F.col("initial_row_count"), F.col("rows_removed")
     return counts.select(
-        total.alias("initial_row_count"),
-        kept.alias("cleaned_row_count"),
-        (total - kept).alias("rows_removed"),
-        percent(total - kept, total).alias("removal_pct"),
-        percent(kept, total).alias("retention_pct"),
+        initial,
+        (initial - removed).alias("cleaned_row_count"),
+        removed,
+        percent(removed, initial).alias("removal_pct"),
+        percent(initial - removed, initial).alias("retention_pct"),
     )

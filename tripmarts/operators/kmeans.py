@@ -283,6 +283,9 @@ def validate(
         "k": F.lit(k),
         "silhouette_difference": difference,
         "generalization": F.when(difference < 0.05, "good").otherwise("overfitting"),
+        "overfitting_band": F.when(difference < 0.05, "none")
+        .when(difference < 0.1, "minor")
+        .otherwise("significant"),
     })
     return report, model
 

@@ -14,6 +14,7 @@ from tripmarts.operators.cleaning import clean_trips, cleaning_report, cleaning_
 from tripmarts.operators.features import add_location_vector, add_trip_features
 from tripmarts.operators.joins import attach_centroids, join_zones
 from tripmarts.operators.sampling import hash_sample, random_sample
+from tripmarts.runtime import cut_lineage
 from tripmarts.schemas import CLUSTERS, ELBOW_KS, LOCATION, SEED
 from tripmarts.sources import tables
 from tripmarts.streaming import sinks, trips as live
@@ -34,27 +35,41 @@ def sample_trips(
 
 
 def clean(
-    spark: SparkSession, raw: str, target: str, reports: str, pattern: str = "*.parquet", **options
+    spark: SparkSession,
+    raw: str,
+    target: str,
+    reports: str,
+    pattern: str = "*.parquet",
+    rare_duplicates: bool = True,
+    **options,
 ) -> None:
-    """Profile the raw trips, clean them, and report what was removed."""
+    """Profile the raw trips, clean them, and report what was removed.
+
+    Full copies of a trip are rare, so by default rows are not shuffled to find them.
+    """
     df = tables.read_trips(spark, raw, pattern)
     tables.write_report(profile.dataset_info(df), f"{reports}/dataset_info")
     tables.write_report(profile.quality_profile(df), f"{reports}/data_quality")
-    tables.write_table(clean_trips(df, **options), target)
+    tables.write_table(clean_trips(df, rare_duplicates=rare_duplicates, **options), target)
     cleaned = tables.read_table(spark, target)
-    tables.write_sample(cleaned, f"{reports}/cleaned_data_sample", cleaned.columns)
-    removed = cleaning_report(df, cleaned=cleaned, **options)
-    tables.write_report(removed, f"{reports}/cleaning_steps")
-    summary = cleaning_summary(df, cleaned=cleaned, **options)
-    tables.write_report(summary, f"{reports}/cleaning_summary")
+    tables.write_sample(cleaned, f"{reports}/cleaned_data_sample")
+    steps = cut_lineage(cleaning_report(df, cleaned=cleaned, **options))
+    tables.write_report(steps, f"{reports}/cleaning_steps")
+    tables.write_report(cleaning_summary(steps), f"{reports}/cleaning_summary")
 
 
-def features(spark: SparkSession, cleaned: str, target: str, zones: str | None = None) -> None:
+def features(
+    spark: SparkSession,
+    cleaned: str,
+    target: str,
+    zones: str | None = None,
+    partition_by: Sequence[str] = (),
+) -> None:
     """Add time, revenue and zone columns. ``target`` must lie outside ``cleaned``."""
     df = add_trip_features(tables.read_table(spark, cleaned))
     if zones is not None:
         df = join_zones(df, tables.read_zones(spark, zones))
-    tables.write_table(add_location_vector(df), target)
+    tables.write_table(add_location_vector(df), target, partition_by=partition_by)
 
 
 def hotspots(spark: SparkSession, featured: str, target: str, reports: str, n: int = 20) -> None:

@@ -540,6 +540,7 @@ FROM trips JOIN zone_clusters ON PULocationID = LocationID GROUP BY cluster"""),
 SELECT PULocationID, count(*) AS trip_count FROM trips GROUP BY PULocationID
 ORDER BY trip_count DESC, PULocationID LIMIT 10"""),
 }
+ORACLES["dedup_rare"] = ORACLES["dedup_all"]
 ORACLES["zone_enrich_large"] = ORACLES["zone_enrich"]
 ORACLES["location_stats_from_cells"] = ORACLES["location_stats"]
 ORACLES["cluster_stats_from_cells"] = ORACLES["cluster_stats"]

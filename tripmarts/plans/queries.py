@@ -182,6 +182,11 @@ def dedup_all(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.drop_duplicates(repeated(star.event_trips(spark, folder)))
 
 
+@query
+def dedup_rare(spark: SparkSession, folder: str) -> DataFrame:
+    return cleaning.drop_rare_duplicates(repeated(star.event_trips(spark, folder)))
+
+
 @query
 def dedup_key(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.drop_duplicates(
@@ -201,7 +206,8 @@ def clean_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def clean_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(cleaning.cleaning_summary(dirty_trips(spark, folder), bounds=DISTRICT))
+    report = cleaning.cleaning_report(dirty_trips(spark, folder), bounds=DISTRICT)
+    return rounded(cleaning.cleaning_summary(report))
 
 
 @query

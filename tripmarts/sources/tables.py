@@ -80,10 +80,19 @@ def write_table(
     writer.save(path)
 
 
-def write_sample(df: DataFrame, path: str, order: Sequence[str], n: int = 10) -> None:
-    """The first n rows in the given order, as one CSV file with a header."""
-    first = df.orderBy(*order).limit(n)
-    write_table(first.coalesce(1), path, fmt="csv")
+def write_sample(df: DataFrame, path: str, order: Sequence[str] = (), n: int = 10) -> None:
+    """n rows as one CSV file with a header: the first in the given order, or any n.
+
+    Without an order, reading stops after the first splits that give n rows.
+    """
+    rows = (df.orderBy(*order) if order else df).take(n)
+    write_table(df.sparkSession.createDataFrame(rows, df.schema).coalesce(1), path, fmt="csv")
+
+
+def print_table(df: DataFrame, n: int = 5) -> None:
+    """Print the schema and n rows."""
+    df.printSchema()
+    df.show(n, truncate=False)
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -8,6 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 DONE = {"availableNow": True}
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
+# Running results kept at a time.
+SLOTS = 10
 
 
 def to_console(df: DataFrame, checkpoint: str, trigger: dict = EVERY_5_SECONDS) -> StreamingQuery:
@@ -38,13 +40,17 @@ def to_table(df: DataFrame, path: str, checkpoint: str, trigger: dict = EVERY_5_
 def to_snapshots(
     df: DataFrame, path: str, checkpoint: str, trigger: dict = EVERY_5_SECONDS
 ) -> StreamingQuery:
-    """Write the whole running result of each batch to its own partition.
+    """Write the whole running result of each batch into the next of a ring of partitions.
 
-    A batch that is repeated after a failure replaces its own partition only.
+    ``path`` belongs to one checkpoint: batch numbers tell which result is the latest.
+
+    A batch that is repeated after a failure replaces only what it wrote itself, and
+    a result stays readable until the ring comes round.
     """
 
     def write(result: DataFrame, batch: int) -> None:
-        result.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        numbered = result.withColumn("batch", F.lit(batch).cast("bigint"))
+        numbered.write.mode("overwrite").parquet(f"{path}/slot={batch % SLOTS}")
 
     return (
         df.writeStream.outputMode("complete")
@@ -59,4 +65,4 @@ def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The running result of the last batch."""
     snapshots = spark.read.parquet(path)
     last = snapshots.agg(F.max("batch")).scalar()
-    return snapshots.filter(F.col("batch") == last).drop("batch")
+    return snapshots.filter(F.col("batch") == last).drop("batch", "slot")
