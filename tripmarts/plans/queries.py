@@ -600,9 +600,10 @@ def _appended(df: DataFrame) -> DataFrame:
 
 
 def _running(df: DataFrame) -> DataFrame:
+    """The last running result; it has a row per cluster, or ten rows."""
     spark = df.sparkSession
     path, checkpoint = work_path(spark, "snapshots"), work_path(spark, "checkpoint")
-    sinks.to_snapshots(df, path, checkpoint, sinks.DONE).awaitTermination()
+    sinks.to_snapshots(df, path, checkpoint, sinks.DONE, files=1).awaitTermination()
     return sinks.latest_snapshot(spark, path)
 
 
@@ -622,7 +623,7 @@ def stream_scored(spark: SparkSession, folder: str) -> DataFrame:
 def stream_cluster_counts(spark: SparkSession, folder: str) -> DataFrame:
     trips = live.parse_messages(_messages(spark, folder), TRIP_MESSAGE)
     scored = live.score_with_centers(trips, star.nation_centroids(spark, folder), CENTERS)
-    return _running(live.running_cluster_counts(scored))
+    return _running(clusters.cluster_counts(scored))
 
 
 @query

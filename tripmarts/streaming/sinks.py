@@ -38,18 +38,25 @@ def to_table(df: DataFrame, path: str, checkpoint: str, trigger: dict = EVERY_5_
 
 
 def to_snapshots(
-    df: DataFrame, path: str, checkpoint: str, trigger: dict = EVERY_5_SECONDS
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict = EVERY_5_SECONDS,
+    files: int | None = None,
 ) -> StreamingQuery:
     """Write the whole running result of each batch into the next of a ring of partitions.
 
     ``path`` belongs to one checkpoint: batch numbers tell which result is the latest.
 
     A batch that is repeated after a failure replaces only what it wrote itself, and
-    a result stays readable until the ring comes round.
+    a result stays readable until the ring comes round. ``files`` per batch are for a
+    result with few groups; by default there is one per state partition.
     """
 
     def write(result: DataFrame, batch: int) -> None:
         numbered = result.withColumn("batch", F.lit(batch).cast("bigint"))
+        if files is not None:
+            numbered = numbered.repartition(files)
         numbered.write.mode("overwrite").parquet(f"{path}/slot={batch % SLOTS}")
 
     return (
