@@ -34,6 +34,21 @@ def test_nearest(spark):
     assert rows[4] == (7, 1.0)
 
 
+@pytest.mark.parametrize("k", [1, 25, 26, 120])
+def test_nearest_of_many(spark, k):
+    """Any number of centres, in any order, with repeated ones: as by brute force."""
+    centers = [(i, ((i * 37 % 60) / 10, (i * 11 % 60) / 10)) for i in range(k)]
+    points = [(i, i % 60 / 10, i * 7 % 61 / 10) for i in range(300)]
+    df = spark.createDataFrame(points, "i INT, latitude DOUBLE, longitude DOUBLE")
+    rows = clusters.assign_nearest(df, centers[::-1]).collect()
+    for row in rows:
+        best = min(
+            ((row.latitude - x) * (row.latitude - x) + (row.longitude - y) * (row.longitude - y), c)
+            for c, (x, y) in centers
+        )
+        assert (row.distance, row.cluster) == best
+
+
 def test_attach_keeps_one_row_per_trip(spark):
     """Zones that share a point and trips that share a zone do not multiply."""
     zones = clusters.zone_clusters(

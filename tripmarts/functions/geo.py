@@ -1,4 +1,4 @@
-"""Distances to a small, fixed set of centres, and the report bands."""
+"""Squared distances, and the report bands."""
 
 from __future__ import annotations
 
@@ -21,25 +21,6 @@ def squared_distance(columns: Sequence[str], point: Sequence[float]) -> Column:
     return total
 
 
-def nearest(columns: Sequence[str], centers: Sequence[Center]) -> Column:
-    """Struct (distance, cluster) of the nearest centre; equal distances go to the lower id.
-
-    A plain expression over the row: no join, whatever the number of rows. NULL
-    when a coordinate is NULL.
-    """
-    candidates = F.array(*[
-        F.struct(
-            squared_distance(columns, point).alias("distance"),
-            F.lit(int(cluster)).alias("cluster"),
-        )
-        for cluster, point in centers
-    ])
-    present = F.lit(True)
-    for name in columns:
-        present = present & F.col(name).isNotNull()
-    return F.when(present, F.array_min(candidates))
-
-
 def silhouette_band(score: str) -> Column:
     value = F.col(score)
     return (

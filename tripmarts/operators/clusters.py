@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmarts.functions.geo import Center, fare_tier, marker_size, nearest, revenue_color
+from tripmarts.functions.geo import Center, fare_tier, marker_size, revenue_color, squared_distance
 from tripmarts.operators.joins import join_dimension
 from tripmarts.operators.locations import mean_of
 from tripmarts.operators.ranking import descending, top
 from tripmarts.schemas import LOCATION
 
 POINT = ("latitude", "longitude")
+# Centres compared per projection, to keep the generated code short.
+CENTERS_PER_STEP = 25
 
 # Metric column behind each ranking.
 RANKINGS = {
@@ -32,14 +34,33 @@ def assign_nearest(
 ) -> DataFrame:
     """Cluster id and squared ``distance`` of each row's nearest centre.
 
-    ``centers`` is the short list a fitted model holds; a NULL coordinate leaves
-    both columns NULL.
+    ``centers`` is the short list a fitted model holds: the distances are plain
+    expressions over the row, without a join. Equal distances go to the lower id; a
+    NULL coordinate leaves both columns NULL. Beyond some 50 centres the JVM no longer
+    compiles the expressions: score many rows with the model itself then.
     """
-    found = df.withColumn("_nearest", nearest(columns, centers))
-    return found.withColumns({
-        cluster: F.col("_nearest.cluster"),
-        "distance": F.col("_nearest.distance"),
-    }).drop("_nearest")
+    ordered = sorted((int(i), point) for i, point in centers)
+    found = df.withColumns({
+        "_distance": F.lit(None).cast("double"), "_cluster": F.lit(None).cast("int")
+    })
+    for start in range(0, len(ordered), CENTERS_PER_STEP):
+        step = ordered[start : start + CENTERS_PER_STEP]
+        ids = F.array(*[F.lit(i) for i, _ in step])
+        distances = F.array(*[squared_distance(columns, point) for _, point in step])
+        closer = F.col("_distance").isNull() | (F.col("_near") < F.col("_distance"))
+        found = (
+            found.withColumn("_distances", distances)
+            .withColumns({
+                "_near": F.array_min("_distances"),
+                "_place": F.array_position("_distances", F.array_min("_distances")).cast("int"),
+            })
+            .withColumns({
+                "_distance": F.when(closer, F.col("_near")).otherwise(F.col("_distance")),
+                "_cluster": F.when(closer, F.get(ids, F.col("_place") - 1)).otherwise(F.col("_cluster")),
+            })
+        )
+    named = found.withColumns({cluster: F.col("_cluster"), "distance": F.col("_distance")})
+    return named.drop("_distance", "_cluster", "_distances", "_near", "_place")
 
 
 def zone_clusters(centroids: DataFrame, centers: Sequence[Center], cluster: str = "cluster") -> DataFrame:

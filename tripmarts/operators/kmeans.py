@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tripmarts.functions.geo import Center, silhouette_band
 from tripmarts.operators.clusters import POINT, assign_nearest
-from tripmarts.operators.joins import attach_centroids
+from tripmarts.operators.joins import attach_centroids, is_small
 from tripmarts.operators.sampling import hash_sample, in_test_part
 from tripmarts.runtime import cut_lineage
 from tripmarts.schemas import (
@@ -200,7 +200,7 @@ def silhouette(
     profile = F.struct(F.col(cluster).alias("id"), "n", "sq", *[f"s{i}" for i in range(len(columns))])
     if by:
         groups = sums.groupBy(*by).agg(F.collect_list(profile).alias("_clusters"))
-        points = points.join(groups, list(by))
+        points = points.join(F.broadcast(groups) if is_small(groups) else groups, list(by))
     else:
         groups = sums.agg(F.collect_list(profile).alias("_clusters"))
         points = points.withColumn("_clusters", groups.scalar())
