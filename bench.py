@@ -21,6 +21,8 @@ QUERIES = [
     "clean_trips",
     "clean_report",
     "order_clean_report",
+    "dedup_all",
+    "dedup_rare",
     "dedup_key",
     "quality_profile",
     "high_value_flag",
