@@ -140,3 +140,10 @@ def mix(
     position = (F.col("mix_slot") * block_docs + F.col("mix_offset")).cast("long")
     rows = rows.withColumn("mix_position", position)
     return rows.select(*documents.columns, "mix_source", "mix_block", "mix_slot", "mix_position")
+
+
+def in_mix_order(documents: DataFrame, weights: dict[str, float], **options) -> DataFrame:
+    """The documents, written in the order of :func:`mix`: files and rows of a file follow it."""
+    mixed = mix(documents, weights, **options)
+    ordered = mixed.repartitionByRange(F.col("mix_position")).sortWithinPartitions("mix_position")
+    return ordered.select(*documents.columns)

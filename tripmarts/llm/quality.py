@@ -23,6 +23,7 @@ MIN_WORDS = 10
 WINDOW = 5
 MAX_REPEAT_PERCENT = 20
 SYMBOLS = "[#*$%&|<>]"
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 # Characters at the end of a word that count as one n-gram.
 ENDING = 3
 # Trusted documents that serve at most; the corpus counts have no bound.
@@ -116,6 +117,42 @@ def log_ratios(
     return listed.select(F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), ratio).alias("ratios"))
 
 
+def fitted_ratios(documents: DataFrame, trusted: DataFrame, **options) -> Column:
+    """:func:`log_ratios` as a literal of ``buckets`` numbers: functions of array elements hold no subquery."""
+    ratios = log_ratios(documents, trusted, **options)
+    listed = ratios.select(F.array_join(F.transform("ratios", lambda x: x.cast("string")), ",")).first()[0]
+    return F.split(F.lit(listed), ",").cast("array<double>")
+
+
+def verdict(text: Column, ratios: Column, *, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> tuple[Column, Callable]:
+    """A struct of a text's measures, and what makes the result's columns of that struct.
+
+    The struct is one expression, so that no array of words becomes a column.
+    """
+    text = F.coalesce(text, F.lit(""))
+
+    def measured(listed: Column) -> Column:
+        total = F.aggregate(
+            listed,
+            F.lit(0.0),
+            lambda held, word: sum((ratios[bucket] for bucket in word_buckets(word, buckets)), held),
+        )
+        hashes = F.transform(listed, lambda word: F.xxhash64(word))
+        base = let(hashes, lambda hashes: F.struct(
+            *(measure.alias(name) for name, measure in base_measures(text, listed, hashes).items())
+        ))
+        return F.struct(base.alias("base"), total.alias("total"))
+
+    def columns(made: Column) -> dict[str, Column]:
+        base = {name: made["base"][name] for name in MEASURES}
+        n, repeated = base["n_words"], base["n_repeat_words"]
+        failed = (n < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
+        score = F.when(n > 0, made["total"] / (2 * n)).otherwise(F.lit(0.0))
+        return base | {"base_failed": failed, "score": score, "kept": ~failed & (score >= threshold)}
+
+    return let(words(text), measured), columns
+
+
 def quality_scores(
     documents: DataFrame, trusted: DataFrame, *, key: str = "doc_id", text: str = "text",
     buckets: int = BUCKETS, smoothing: float = SMOOTHING, trusted_rows: int = TRUSTED_ROWS, threshold: float = THRESHOLD,
@@ -127,29 +164,19 @@ def quality_scores(
     others are kept from a score of ``threshold`` on. Equal texts get equal scores; rows with equal
     or NULL keys are kept apart. Other columns are not read; an empty table gives an empty result.
     """
-    ratios = log_ratios(
+    ratios = fitted_ratios(
         documents, trusted, key=key, text=text, buckets=buckets, smoothing=smoothing, trusted_rows=trusted_rows
     )
-    # A literal of ``buckets`` numbers: functions of array elements cannot hold a subquery.
-    listed = ratios.select(F.array_join(F.transform("ratios", lambda x: x.cast("string")), ",")).first()[0]
-    ratios = F.split(F.lit(listed), ",").cast("array<double>")
-    rows = documents.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    made, columns = verdict(F.col(text), ratios, buckets=buckets, threshold=threshold)
+    rows = documents.select(F.col(key).alias("doc_id"), made.alias("made"))
+    return rows.select("doc_id", *(value.alias(name) for name, value in columns(F.col("made")).items()))
 
-    def measured(listed: Column) -> Column:
-        total = F.aggregate(
-            listed,
-            F.lit(0.0),
-            lambda held, word: sum((ratios.getItem(bucket) for bucket in word_buckets(word, buckets)), held),
-        )
-        hashes = F.transform(listed, lambda word: F.xxhash64(word))
-        base = let(hashes, lambda hashes: F.struct(
-            *(measure.alias(name) for name, measure in base_measures(F.col("text"), listed, hashes).items())
-        ))
-        return F.struct(base.alias("base"), total.alias("total"))
 
-    # One expression, so that no array of words becomes a column.
-    rows = rows.select("doc_id", let(words(F.col("text")), measured).alias("made")).select("doc_id", "made.base.*", "made.total")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    score = F.when(F.col("n_words") > 0, F.col("total") / (2 * F.col("n_words"))).otherwise(F.lit(0.0))
-    rows = rows.withColumns({"base_failed": failed, "score": score}).drop("total")
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+def keep_good(
+    documents: DataFrame, trusted: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """The documents that :func:`quality_scores` keeps, with all their columns."""
+    ratios = fitted_ratios(documents, trusted, key=key, text=text)
+    made, columns = verdict(F.col(text), ratios, threshold=threshold)
+    rows = documents.select(F.struct("*").alias("row"), made.alias("made"))
+    return rows.filter(columns(F.col("made"))["kept"]).select("row.*")

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmarts.llm import chat, quality, simhash, warc
+from tripmarts.llm import chat, mixing, mtree, packing, quality, simhash, toxicity, warc, wavelet, wrappers
 from tripmarts.llm.common import kept, ship, table
 from tripmarts.runtime import work_path
 
@@ -32,16 +32,55 @@ def trusted_documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "labels").filter("quality = 1").select("doc_id")
 
 
+# Target shares of the mix; sources that are not named share the rest.
+MIX_WEIGHTS = {f"src{n}": 0.0475 for n in range(20)}
+OTHER_WEIGHT = 0.05
+
+
+@query
+def op1_mtree_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op2_wrapper_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.main_text(table(spark, folder, "pages"))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), trusted_documents(spark, folder))
 
 
+@query
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query
+def op5_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    path = work_path(spark, "wavelet")
+    wavelet.write_shards(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return wavelet.read_documents(spark, path)
+
+
 @query
 def op6_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op7_toxicity_bigru(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.toxicity(documents, toxicity.fit(documents, table(spark, folder, "labels")))
+
+
+@query
+def op8_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "source")
+    return mixing.mix(documents, MIX_WEIGHTS, other_weight=OTHER_WEIGHT)
+
+
 @query
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")

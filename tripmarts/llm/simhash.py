@@ -59,16 +59,17 @@ def _majority(hashes: np.ndarray) -> int:
 def fingerprints(
     documents: DataFrame, *, key: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """``doc_id, fp``: the fingerprint of every row as a signed long. NULL texts count as empty."""
+    """``doc_id, text_hash, fp``: the fingerprint of every row as a signed long. NULL texts count as empty."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint_of(x.as_py(), shingle_words) for x in batch.column(1)]
+            made = [fingerprint_of(x.as_py(), shingle_words) for x in batch.column(2)]
             fps = pa.array(np.array(made, np.uint64).astype(np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], fps], ["doc_id", "text_hash", "fp"])
 
-    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(scan, "doc_id long, fp long")
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
+    return rows.mapInArrow(scan, "doc_id long, text_hash long, fp long")
 
 
 def segment_bounds(segments: int = SEGMENTS) -> list[tuple[int, int]]:
@@ -210,26 +211,47 @@ def spanning_links(table: np.ndarray, asked: np.ndarray, radius: int) -> tuple[n
     return np.concatenate(left), np.concatenate(right)
 
 
-def near_duplicates(
+def grouped(
     documents: DataFrame, *, key: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS,
     radius: int = RADIUS, segments: int = SEGMENTS, block: int = BLOCK,
 ) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row.
+    """``doc_id, text_hash, fp, component`` of every row; components are named by a fingerprint."""
+    marked = kept(fingerprints(documents, key=key, text=text, shingle_words=shingle_words), "fingerprints")
+    distinct = kept(marked.select("fp").distinct(), "distinct")
+    joined = components(links(distinct, radius=radius, segments=segments, block=block))
+    return marked.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "doc_id", "text_hash", "fp", F.coalesce("component", "fp").alias("component")
+    )
+
+
+def near_duplicates(documents: DataFrame, **options) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every row; options as of :func:`grouped`.
 
     Fingerprints within ``radius`` bits link; ``component_id`` is the smallest doc_id reachable,
     NULL only where all ids of a component are. Texts without words have fingerprint zero and link
     like any other. Rows with equal ids or texts are kept, each with its result. Other columns of
     ``documents`` are not read. An empty table gives an empty result.
     """
-    marked = kept(fingerprints(documents, key=key, text=text, shingle_words=shingle_words), "fingerprints")
-    firsts = kept(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    found = links(firsts, radius=radius, segments=segments, block=block)
-    grouped = components(found)
-    # The smallest id of a component, from the smallest ids of its fingerprints.
-    members = firsts.join(grouped, firsts["fp"] == grouped["node"], "left")
-    members = members.select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    lowest = members.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = members.join(lowest, "component").select("fp", "component_id")
-    return marked.join(named, "fp").select(
+    rows = kept(grouped(documents, **options), "groups")
+    lowest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(lowest, "component").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(documents: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One document of each component, with all its columns: the one with the smallest id.
+
+    Among equal ids the smaller text hash stays, NULL ids come last, and of rows with equal id and
+    text one stays.
+    """
+    rows = grouped(documents, key=key, text=text, **options)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")).alias("first")
+    first = rows.groupBy("component").agg(first).select(F.col("first.doc_id").alias("own_id"), F.col("first.text_hash").alias("own_hash"))
+    marked = documents.select(
+        F.struct("*").alias("row"), F.col(key).cast("long").alias("row_id"),
+        F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("row_hash"),
+    )
+    same = F.col("row_id").eqNullSafe(F.col("own_id")) & (F.col("row_hash") == F.col("own_hash"))
+    chosen = marked.join(first.distinct(), same, "left_semi")
+    return chosen.dropDuplicates(["row_id", "row_hash"]).select("row.*")

@@ -12,8 +12,9 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, STRIDE = 32, 16
@@ -375,23 +376,33 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def toxicity(documents: DataFrame, model: dict[str, np.ndarray], *, key: str = "doc_id", text: str = "text", cutoff: float = CUTOFF) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row, from its text alone.
+def score_column(model: dict[str, np.ndarray], text: Column) -> Column:
+    """Score of a text; NULL counts as empty."""
 
-    A text without words has the score of an empty window. Equal texts have equal scores; a NULL
-    id is not held out. Other columns are not read.
-    """
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(model)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                scores = scorer.scores(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
+        for batch in texts:
+            parts = [scorer.scores(batch.iloc[n : n + 500].tolist()) for n in range(0, len(batch), 500)]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return F.pandas_udf(score, "double")(F.coalesce(text.cast("string"), F.lit("")))
+
 
-    rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    scored = rows.mapInArrow(score, "doc_id long, score double")
+def toxicity(
+    documents: DataFrame, model: dict[str, np.ndarray], *, key: str = "doc_id", text: str = "text", cutoff: float = CUTOFF
+) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every row, the score from its text alone.
+
+    A text without words has the score of an empty window. Equal texts have equal scores; a NULL
+    id is not held out. Other columns are not read; an empty table gives an empty result.
+    """
+    scored = documents.select(F.col(key).cast("long").alias("doc_id"), score_column(model, F.col(text)).alias("score"))
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= cutoff).cast("int").alias("predicted")
     )
+
+
+def drop_toxic(documents: DataFrame, model: dict[str, np.ndarray], *, text: str = "text", cutoff: float = CUTOFF) -> DataFrame:
+    """The documents below the cutoff, with all their columns."""
+    rows = documents.select(F.struct("*").alias("row"), score_column(model, F.col(text)).alias("score"))
+    return rows.filter(F.col("score") < cutoff).select("row.*")
