@@ -3,3 +3,60 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op1_mtree_top_k"] = """
+WITH wide AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings WHERE vec_id IS NOT NULL
+), whole AS (
+    SELECT vec_id, list_transform(v, lambda x: floor(x * 1024)) AS w FROM wide
+    WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+        vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+# Control strings with any number of backslashes behind their first character gain one character each.
+ORACLES["op9_chat_format"] = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), turns AS (
+    SELECT *, len(text) + len(regexp_extract_all(text,
+        '[<\[]\\*(?:s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>|\|role\|>|\|says\|>)')) AS escaped
+    FROM said
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+    CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(escaped + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15
+        ELSE 20 + len(role) END) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLES["op10_warc_archives"] = """
+WITH sums AS (
+    SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), bits AS (
+    SELECT page_id, url, payload_bytes, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first,
+        CAST(CAST(unhex(hex) AS BIT) AS VARCHAR) AS bits
+    FROM sums
+), coded AS (
+    SELECT page_id, url, payload_bytes, first, list_aggregate(list_transform(range(0, 32), lambda i: substring(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + CAST(16 * CAST(substring(bits, 5 * i + 1, 1) AS INTEGER) + 8 * CAST(substring(bits, 5 * i + 2, 1) AS INTEGER)
+            + 4 * CAST(substring(bits, 5 * i + 3, 1) AS INTEGER) + 2 * CAST(substring(bits, 5 * i + 4, 1) AS INTEGER)
+            + CAST(substring(bits, 5 * i + 5, 1) AS INTEGER) AS BIGINT), 1)), 'string_agg', '') AS payload_digest
+    FROM bits
+)
+SELECT page_id, url, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM coded
+"""
