@@ -51,10 +51,11 @@ def tokenizer(path: str):
 
 def loss_mask(lengths: list[int], in_loss: list[bool]) -> np.ndarray:
     """1 for the tokens of the segments in the loss: running sum of +1 at their starts, -1 at their ends."""
-    ends = np.cumsum(np.asarray(lengths, np.int64))
+    lengths = np.asarray(lengths, np.int64)
+    ends = np.cumsum(lengths)
     starts = ends - lengths
-    steps = np.zeros(int(ends[-1]) + 1 if len(lengths) else 1, np.int8)
-    chosen = np.asarray(in_loss, bool) & (np.asarray(lengths) > 0)
+    steps = np.zeros(int(lengths.sum()) + 1, np.int8)
+    chosen = np.asarray(in_loss, bool) & (lengths > 0)
     np.add.at(steps, starts[chosen], 1)
     np.add.at(steps, ends[chosen], -1)
     return np.cumsum(steps, dtype=np.int8)[:-1]

@@ -19,14 +19,18 @@ from pyspark.sql import functions as F
 
 WINDOW, STRIDE = 32, 16
 HIDDEN = 8
-WORD_ROWS, WORD_DIM = 1 << 13, 6
-GRAM_ROWS, GRAM_DIM = 1 << 14, 10
+WORD_ROWS, WORD_DIM = 1 << 15, 6
+GRAM_ROWS, GRAM_DIM = 1 << 15, 10
+# Rows of both tables met in fewer training texts stay zero, as those of unseen words do.
+MIN_TEXTS = 3
 GRAMS = (3, 4, 5)
 CUTOFF = 0.7
 # Labelled rows of each class that serve for training at most, and windows of each.
 TRAIN_ROWS = 1000
 TRAIN_WINDOWS = 16
 ROUNDS = 7
+# Steps of a round at least.
+STEPS = 40
 SEED = 7
 # Distinct words a worker remembers before it starts anew.
 REMEMBERED = 200_000
@@ -209,6 +213,11 @@ def train(texts: list[list[list[str]]], labels: list[int], seed: int = SEED, rou
     if not vocabulary:
         return model
     own, rows, starts = word_features(list(vocabulary))
+    learnt = {name: _met(codes, at, bounds, size) for name, at, bounds, size in (
+        ("words", own, np.arange(len(own) + 1), WORD_ROWS), ("grams", rows, starts, GRAM_ROWS),
+    )}
+    for name, mask in learnt.items():
+        model[name] *= mask
     sums = {name: np.zeros_like(value) for name, value in model.items()}
     squares = {name: np.zeros_like(value) for name, value in model.items()}
     step = 0
@@ -225,10 +234,12 @@ def train(texts: list[list[list[str]]], labels: list[int], seed: int = SEED, rou
         truth = np.array([labels[t] for t, _ in chosen], np.float32)
         toxic = max(1.0, truth.sum())
         weight = np.where(truth > 0, len(truth) / (2 * toxic), len(truth) / (2 * max(1.0, len(truth) - toxic))).astype(np.float32)
-        for _ in range(2 if number < 2 else 3):
+        # Small samples take smaller batches and more passes, so that every round has steps enough.
+        size = min(256, max(32, len(chosen) // 16))
+        for _ in range(max(2, -(-STEPS // -(-len(chosen) // size)))):
             order = draw.permutation(len(chosen))
-            for start in range(0, len(order), 256):
-                batch = order[start : start + 256]
+            for start in range(0, len(order), size):
+                batch = order[start : start + size]
                 index, mask = windows_matrix([codes[chosen[i][0]][chosen[i][1]] for i in batch])
                 used, local = np.unique(index, return_inverse=True)
                 counts = np.diff(starts)[used]
@@ -236,6 +247,8 @@ def train(texts: list[list[list[str]]], labels: list[int], seed: int = SEED, rou
                 at = np.repeat(starts[used] - offsets[:-1], counts) + np.arange(offsets[-1])
                 grads = gradients(model, (own[used], rows[at], offsets), local.reshape(index.shape), mask, truth[batch], weight[batch])
                 step += 1
+                for name, mask in learnt.items():
+                    grads[name] *= mask
                 for name, grad in grads.items():
                     sums[name] = 0.9 * sums[name] + 0.1 * grad
                     squares[name] = 0.98 * squares[name] + 0.02 * grad * grad
@@ -244,6 +257,17 @@ def train(texts: list[list[list[str]]], labels: list[int], seed: int = SEED, rou
     return model
 
 
+def _met(codes: list[list[np.ndarray]], rows: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """1 for the table rows that words of ``MIN_TEXTS`` texts or more use, as a column."""
+    count = np.zeros(size, np.int64)
+    for text in codes:
+        used = np.unique(np.concatenate(text)) if text else np.zeros(0, np.int64)
+        lengths = starts[used + 1] - starts[used]
+        at = np.repeat(starts[used] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        count[np.unique(rows[at])] += 1
+    return (count >= MIN_TEXTS).astype(np.float32)[:, None]
+
+
 def word_gates(model, features) -> tuple[np.ndarray, np.ndarray]:
     """What each word adds to the gates of both directions."""
     own, rows, starts = features
