@@ -173,12 +173,11 @@ def test_one_hot_group_of_copies(spark):
     assert cleaning.drop_rare_duplicates(hot).count() == 20_001
 
 
-@pytest.mark.parametrize("max_shared", [100, 1])
-def test_rare_duplicates(spark, max_shared):
-    """The same rows whether few hashes are shared or too many; 0.0 and -0.0 are equal."""
+def test_rare_duplicates(spark):
+    """Copies go, single rows stay; 0.0 and -0.0 are equal."""
     rows = [(1, "a", 0.0), (1, "a", -0.0), (2, None, None), (2, None, None), (3, "c", 1.0), (4, "d", 1.0)]
     df = spark.createDataFrame(rows, "k INT, v STRING, x DOUBLE").repartition(4)
-    distinct = cleaning.drop_rare_duplicates(df, max_shared)
+    distinct = cleaning.drop_rare_duplicates(df)
     assert distinct.columns == df.columns
     assert ids(distinct) == [1, 2, 3, 4]
 

@@ -55,6 +55,29 @@ def test_quantile_of_many_values(spark):
     assert abs(value - 300_000) < 400_000 * 0.001
 
 
+def test_exact_quantiles(spark):
+    df = spark.range(0, 100_000, 1, 16).selectExpr("id % 777 AS a", "IF(id % 1000 = 0, NULL, id * id * 1.0D) AS b", "0 AS c")
+    rows = {r.column_name: r for r in profile.numeric_profile(df, exact=True).collect()}
+    values = sorted(i * i * 1.0 for i in range(100_000) if i % 1000)
+    assert [rows["b"].p25, rows["b"].p50, rows["b"].p75] == [values[-(-len(values) * q // 4) - 1] for q in (1, 2, 3)]
+    assert (rows["c"].p25, rows["c"].p75) == (0.0, 0.0)
+    assert profile.quantile(df, "b", 0.5, exact=True).first()[0] == rows["b"].p50
+    assert profile.quantile(df.filter("false"), "b", 0.5, exact=True).first()[0] is None
+
+
+def test_sketches_are_small(spark):
+    df = spark.range(0, 300_000, 1, 4).selectExpr("CAST(id AS DOUBLE) AS x")
+    size = df.agg(profile._sketch("x", profile.SKETCH_SIZE).alias("s")).selectExpr("octet_length(s)").first()[0]
+    assert size < 200_000
+
+
+def test_nan_stays_nan(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (float("nan"),)], "x DOUBLE")
+    for exact in (False, True):
+        row = profile.numeric_profile(df, exact=exact).first()
+        assert math.isnan(row.p50) and math.isnan(row.max) and row.p25 == 1.0
+
+
 def test_info(table):
     info = profile.dataset_info(table).first()
     assert (info.row_count, info.column_count, info.columns) == (3, 5, ["a", "b", "c", "s", "d"])

@@ -120,6 +120,22 @@ def test_audit(spark, tmp_path):
     assert summary.missing_files == ["empty.bin", "gone.bin"]
 
 
+def test_audit_of_table_folders(spark, tmp_path):
+    spark.range(10).repartition(2).write.parquet(str(tmp_path / "t.parquet"))
+    row = tables.audit_files(spark, str(tmp_path), ["t.parquet"]).first()
+    assert row.is_present and row.bytes > 0
+    assert tables.read_trips(spark, str(tmp_path / "t.parquet")).count() == 10
+
+
+def test_csv_columns_by_name(spark, tmp_path):
+    (tmp_path / "zones.csv").write_text("borough,extra,LOCATIONID,Zone,service_zone\nEWR,1,1,Airport,x\n,2,bad,Y,z\n")
+    rows = tables.read_zones(spark, str(tmp_path / "zones.csv")).collect()
+    assert [(r.LocationID, r.Zone, r.Borough) for r in rows] == [(1, "Airport", "EWR"), (None, "Y", None)]
+    (tmp_path / "points.csv").write_text("longitude,LocationID\n1.5,2\n")
+    with pytest.raises(ValueError, match="latitude"):
+        tables.read_centroids(spark, str(tmp_path / "points.csv"))
+
+
 def test_messages(spark):
     df = spark.sql("""SELECT 1 AS id, TIMESTAMP_NTZ'2019-03-01 00:22:19' AS t, TIMESTAMP_NTZ'2019-03-10 02:30:00.12' AS u,
         CAST(NULL AS DOUBLE) AS x, DATE'2019-03-01' AS d, true AS b, 'q"' AS s, CAST(1.50 AS DECIMAL(5,2)) AS m""")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmarts.functions.rules import all_of, coordinates_ok, times_ok, values_ok
-from tripmarts.operators.joins import BROADCAST_ROWS, is_small
 from tripmarts.runtime import cut_lineage
 from tripmarts.schemas import CITY_BOUNDS, DROPOFF, MAX_TRIP_HOURS, PICKUP, Bounds
 
@@ -54,21 +53,19 @@ def drop_duplicates(df: DataFrame, keys: Sequence[str] | None = None) -> DataFra
     )
 
 
-def drop_rare_duplicates(df: DataFrame, max_shared: int = BROADCAST_ROWS) -> DataFrame:
+def drop_rare_duplicates(df: DataFrame) -> DataFrame:
     """Distinct rows, for large tables where few rows have copies.
 
     Only the hashes of the rows are shuffled. Rows whose hash occurs once stay where
     they are; the others, copies or not, are compared as a whole. Reads the table
-    three times in place of shuffling it. If more than ``max_shared`` hashes occur
-    twice, all rows are compared as in ``drop_duplicates``.
+    three times in place of shuffling it, which pays only while the hashes that occur
+    twice are few enough for the engine to broadcast; the result is the same for any number.
     """
     hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
     counts = hashed.groupBy("_hash").agg(F.count("*").alias("_rows"))
     shared = cut_lineage(counts.filter(F.col("_rows") > 1).select("_hash"))
-    if not is_small(shared, max_shared):
-        return df.dropDuplicates()
-    single = hashed.join(F.broadcast(shared), "_hash", "left_anti").select(*df.columns)
-    copies = hashed.join(F.broadcast(shared), "_hash", "left_semi").select(*df.columns)
+    single = hashed.join(shared, "_hash", "left_anti").select(*df.columns)
+    copies = hashed.join(shared, "_hash", "left_semi").select(*df.columns)
     return single.unionByName(copies.dropDuplicates())
 
 

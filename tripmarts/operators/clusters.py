@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmarts.functions.geo import Center, fare_tier, marker_size, revenue_color, squared_distance
+from tripmarts.functions.money import amount_mean, amount_sum
 from tripmarts.operators.joins import join_dimension
-from tripmarts.operators.locations import mean_of
+from tripmarts.operators.locations import mean_of, total_of
 from tripmarts.operators.ranking import descending, top
 from tripmarts.schemas import LOCATION
 
@@ -90,8 +91,8 @@ def cluster_stats(trips: DataFrame, cluster: str = "cluster") -> DataFrame:
         F.count("*").alias("trip_count"),
         F.avg("latitude").alias("center_lat"),
         F.avg("longitude").alias("center_lon"),
-        F.avg("fare_amount").alias("avg_fare"),
-        F.avg("total_revenue").alias("avg_revenue"),
+        amount_mean("fare_amount").alias("avg_fare"),
+        amount_mean("total_revenue").alias("avg_revenue"),
     )
 
 
@@ -99,9 +100,9 @@ def cluster_metrics(trips: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Per cluster: trips, mean fare, mean and total revenue, mean duration and pickup hour."""
     return trips.groupBy(cluster).agg(
         F.count("*").alias("trip_count"),
-        F.avg("fare_amount").alias("avg_fare"),
-        F.avg("total_revenue").alias("avg_revenue"),
-        F.sum("total_revenue").alias("total_revenue"),
+        amount_mean("fare_amount").alias("avg_fare"),
+        amount_mean("total_revenue").alias("avg_revenue"),
+        amount_sum("total_revenue").alias("total_revenue"),
         F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
         F.avg("pickup_hour").alias("avg_hour"),
     )
@@ -126,7 +127,7 @@ def cluster_metrics_from_cells(cells: DataFrame, cluster: str = "cluster") -> Da
         F.sum("trips").alias("trip_count"),
         mean_of("fare_amount").alias("avg_fare"),
         mean_of("total_revenue").alias("avg_revenue"),
-        F.sum("total_revenue_sum").alias("total_revenue"),
+        total_of("total_revenue").alias("total_revenue"),
         mean_of("trip_duration_minutes").alias("avg_duration_minutes"),
         F.try_divide(F.sum(F.col("pickup_hour") * F.col("trips")), F.sum(hours)).alias("avg_hour"),
     )
@@ -226,10 +227,12 @@ def map_points(metrics: DataFrame, centers: DataFrame, n: int = 10, cluster: str
     )
 
 
-def bar_feed(ranked: DataFrame, metric: str = "total_revenue", cluster: str = "cluster") -> DataFrame:
-    """Chart table: label and value of up to ten ranked clusters; a missing metric is 0."""
+def bar_feed(
+    ranked: DataFrame, metric: str = "total_revenue", cluster: str = "cluster", n: int = 10
+) -> DataFrame:
+    """Chart table: label and value of the first ``n`` ranked clusters; a missing metric is 0."""
     value = F.col(metric) if metric in ranked.columns else F.lit(None).cast("double")
-    return ranked.filter(F.col("rank") <= 10).select(
+    return ranked.filter(F.col("rank") <= n).select(
         "rank",
         F.concat(F.lit("Cluster "), F.col(cluster).cast("string")).alias("label"),
         F.coalesce(value, F.lit(0)).alias("value"),

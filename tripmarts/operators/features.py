@@ -41,13 +41,14 @@ def add_high_value_flag(
     amount: str = "total_revenue",
     fraction: float = HIGH_VALUE_QUANTILE,
     size: int = SKETCH_SIZE,
+    exact: bool = True,
 ) -> DataFrame:
     """``is_high_value``: 1 for rows at or above the table's own quantile of ``amount``.
 
     The threshold is a scalar subquery: it reads only the columns it needs and
-    never passes through the driver program. No amounts at all means no 1s.
+    never passes through the driver program. It is exact, by two scans, or a sketch's. No amounts at all means no 1s.
     """
-    threshold = quantile(df, amount, fraction, size).scalar()
+    threshold = quantile(df, amount, fraction, size, exact).scalar()
     return df.withColumn("is_high_value", flag(F.col(amount) >= threshold))
 
 

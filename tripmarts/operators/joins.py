@@ -11,8 +11,6 @@ from tripmarts.schemas import LOCATION
 # A dimension is broadcast only when it was measured to be within both limits.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Copies of a larger dimension, and so the parts a hot key is split into.
-SALTS = 32
 
 
 def _width(field: T.StructField) -> Column:
@@ -44,28 +42,17 @@ def join_dimension(
     how: str = "inner",
     *,
     max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Inner or left join of facts with a dimension; all columns of both sides remain.
 
-    A dimension measured small is broadcast, so the facts are not shuffled. Any
-    other is joined on (key, salt): each map task of the facts has one salt, and
-    the dimension is repeated per salt, which spreads a key that holds a large
-    share of the rows over ``salts`` reducers.
+    A dimension measured to be small carries a broadcast hint, so the facts are not shuffled.
+    Any other is a plain equi-join with the same columns: a key with a large share of the facts
+    is split by adaptive execution, into as many parts as its measured size needs.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"join type must be inner or left, not {how}")
-    if is_small(dimension, max_rows):
-        small = F.broadcast(dimension)
-        return facts.join(small, facts[fact_key] == small[dimension_key], how)
-    names = facts.columns + dimension.columns
-    salted = facts.withColumn("_fact_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    matches = (salted[fact_key] == repeated[dimension_key]) & (
-        salted["_fact_salt"] == repeated["_salt"]
-    )
-    joined = salted.join(repeated, matches, how).drop("_fact_salt", "_salt")
-    return joined.toDF(*names)
+    side = F.broadcast(dimension) if is_small(dimension, max_rows) else dimension.hint("merge")
+    return facts.join(side, facts[fact_key] == side[dimension_key], how)
 
 
 def join_zones(trips: DataFrame, zones: DataFrame, location: str = LOCATION) -> DataFrame:

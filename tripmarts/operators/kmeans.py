@@ -252,7 +252,8 @@ def validate(
 ) -> tuple[DataFrame, KMeansModel]:
     """Fit on a train part and measure both parts: (one-row report, model).
 
-    Rows are parted by key and collapsed to weighted points in the same single
+    Without a train or a test part the comparison and its labels are NULL; ``k`` is the number of
+    centres the fit really has. Rows are parted by key and collapsed to weighted points in the same single
     pass; everything after works on points.
     """
     parted = df.withColumn("_test", in_test_part(keys, fraction, seed))
@@ -280,12 +281,12 @@ def validate(
     report = report.withColumns({
         "train_fraction": F.lit(1 - fraction),
         "test_fraction": F.lit(fraction),
-        "k": F.lit(k),
+        "k": F.lit(len(model.clusterCenters())),
         "silhouette_difference": difference,
-        "generalization": F.when(difference < 0.05, "good").otherwise("overfitting"),
+        "generalization": F.when(difference < 0.05, "good").when(difference >= 0.05, "overfitting"),
         "overfitting_band": F.when(difference < 0.05, "none")
         .when(difference < 0.1, "minor")
-        .otherwise("significant"),
+        .when(difference >= 0.1, "significant"),
     })
     return report, model
 

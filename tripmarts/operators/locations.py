@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmarts.functions.features import weekday_name
+from tripmarts.functions.money import AMOUNTS, amount_mean, amount_sum
 from tripmarts.operators.joins import add_zone_label
 from tripmarts.operators.ranking import descending, top
 from tripmarts.schemas import LOCATION
@@ -23,8 +24,8 @@ def location_stats(trips: DataFrame, location: str = LOCATION) -> DataFrame:
     """Per location: trips, mean fare, revenue, mean distance and duration, high-value trips."""
     stats = trips.groupBy(location).agg(
         F.count("*").alias("trip_count"),
-        F.avg("fare_amount").alias("avg_fare"),
-        F.sum("total_revenue").alias("total_revenue"),
+        amount_mean("fare_amount").alias("avg_fare"),
+        amount_sum("total_revenue").alias("total_revenue"),
         F.avg("trip_distance").alias("avg_distance"),
         F.avg("trip_duration_minutes").alias("avg_duration"),
         F.sum("is_high_value").alias("high_value_trips"),
@@ -48,15 +49,21 @@ def time_cells(trips: DataFrame, key: str = LOCATION) -> DataFrame:
     present = [name for name in means if name in trips.columns]
     parts = [F.count("*").alias("trips")]
     for name in present:
-        parts += [F.sum(name).alias(f"{name}_sum"), F.count(name).alias(f"{name}_n")]
+        total = amount_sum(name) if name in AMOUNTS else F.sum(name)
+        parts += [total.alias(f"{name}_sum"), F.count(name).alias(f"{name}_n")]
     if "is_high_value" in trips.columns:
         parts.append(F.sum("is_high_value").alias("high_value_trips"))
     return trips.groupBy(key, "pickup_dayofweek", "pickup_hour").agg(*parts)
 
 
+def total_of(name: str) -> Column:
+    """Sum of a column of the time cells."""
+    return amount_sum(f"{name}_sum") if name in AMOUNTS else F.sum(f"{name}_sum")
+
+
 def mean_of(name: str) -> Column:
     """Average of a column of the time cells, weighted by its own non-NULL counts."""
-    return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n"))
+    return F.try_divide(total_of(name), F.sum(f"{name}_n"))
 
 
 def location_stats_from_cells(cells: DataFrame, location: str = LOCATION) -> DataFrame:
@@ -64,7 +71,7 @@ def location_stats_from_cells(cells: DataFrame, location: str = LOCATION) -> Dat
     stats = cells.groupBy(location).agg(
         F.sum("trips").alias("trip_count"),
         mean_of("fare_amount").alias("avg_fare"),
-        F.sum("total_revenue_sum").alias("total_revenue"),
+        total_of("total_revenue").alias("total_revenue"),
         mean_of("trip_distance").alias("avg_distance"),
         mean_of("trip_duration_minutes").alias("avg_duration"),
         F.sum("high_value_trips").alias("high_value_trips"),

@@ -4,42 +4,97 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmarts.operators.cleaning import percent
 
-# Largest sketch size Spark accepts: exact up to that many values per sketch, then
-# a rank error of about 0.01 %.
-SKETCH_SIZE = 65535
-# Sketches are merged in two levels, so no single task merges one per input split.
-SKETCH_GROUPS = 256
-
-
-def _group() -> Column:
-    return F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
+# Sketch size: some 80 kB, with a rank error within RANK_ERROR.
+SKETCH_SIZE = 4096
+RANK_ERROR = 0.005
+# Sketches merged in one step, so that the tree grows with the number of input splits.
+FAN_IN = 64
 
 
 def _sketch(name: str, size: int) -> Column:
-    """Quantile sketch of a numeric column; NaN counts as the largest value."""
+    """Quantile sketch of a numeric column; NaN counts as the largest value, like infinity."""
     value = F.nanvl(F.col(name).cast("double"), F.lit(float("inf")))
     return F.kll_sketch_agg_double(value, F.lit(size))
 
 
 def _quantiles(sketch: str, fractions: Sequence[float]) -> Column:
-    """Array of quantiles, NULL for a sketch that saw no value."""
+    """Array of quantiles, NULL for a sketch that saw no value; NaN where NaN or infinity stands."""
     wanted = F.array(*[F.lit(float(fraction)) for fraction in fractions])
-    return F.when(
-        F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, wanted)
+    found = F.kll_sketch_get_quantile_double(sketch, wanted)
+    found = F.transform(found, lambda x: F.when(x == float("inf"), float("nan")).otherwise(x))
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, found)
+
+
+def _in_steps(df: DataFrame, partial: list[Column], merged: list[Column]) -> DataFrame:
+    """One row: ``partial`` per input partition, then ``merged`` over ever larger groups of partitions."""
+    part = F.spark_partition_id()
+    rows = df.groupBy(part.alias("_part")).agg(*partial)
+    for _ in range(2):
+        rows = rows.groupBy(F.floor(F.col("_part") / FAN_IN).alias("_part")).agg(*merged)
+    return rows.agg(*merged)
+
+
+def _exact(df: DataFrame, columns: dict[int, str], fractions: Sequence[float], size: int) -> DataFrame:
+    """``column, quantiles``: exact discrete quantiles of columns, by number.
+
+    A second scan counts what lies below the bracket that the sketch gives, and the values inside
+    it. Only the bracket's distinct values, a share of some 2 * RANK_ERROR, are sorted.
+    """
+    wide = [bound for f in fractions for bound in (max(0.0, f - RANK_ERROR), min(1.0, f + RANK_ERROR))]
+    sketches = _in_steps(
+        df,
+        [_sketch(name, size).alias(f"s{i}") for i, name in columns.items()],
+        [F.kll_merge_agg_double(f"s{i}", F.lit(size)).alias(f"s{i}") for i in columns],
     )
-
-
-def quantile(df: DataFrame, name: str, fraction: float, size: int = SKETCH_SIZE) -> DataFrame:
-    """One row, one column ``quantile``: the value at that fraction of the column."""
-    partial = df.groupBy(_group().alias("_group")).agg(_sketch(name, size).alias("_sketch"))
-    merged = partial.agg(F.kll_merge_agg_double("_sketch", F.lit(size)).alias("_sketch"))
-    return merged.select(F.get(_quantiles("_sketch", [fraction]), F.lit(0)).alias("quantile"))
+    wanted = F.array(*map(F.lit, wide))
+    bounds = sketches.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(i).alias("column"),
+            F.kll_sketch_get_n_double(f"s{i}").alias("n"),
+            F.when(F.kll_sketch_get_n_double(f"s{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", wanted)).alias("at"),
+        ) for i in columns
+    ])))
+    brackets = bounds.select("column", "n", F.inline(F.array(*[
+        F.struct(F.lit(j).alias("which"), F.lit(float(f)).alias("fraction"), F.get("at", F.lit(2 * j)).alias("low"),
+                 F.get("at", F.lit(2 * j + 1)).alias("high"))
+        for j, f in enumerate(fractions)
+    ])))
+    values = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("column"), F.nanvl(F.col(name).cast("double"), F.lit(float("inf"))).alias("value"))
+        for i, name in columns.items()
+    ]))).filter("value IS NOT NULL")
+    # As many brackets as there are columns and fractions.
+    near = values.join(F.broadcast(brackets), "column").filter("value <= high")
+    inside = F.when(F.col("value") >= F.col("low"), F.col("value"))
+    counts = near.groupBy("column", "which", "n", "fraction", inside.alias("value")).agg(F.count("*").alias("rows"))
+    order = Window.partitionBy("column", "which").orderBy(F.col("value").asc_nulls_first())
+    reached = counts.withColumn("upto", F.sum("rows").over(order))
+    found = reached.filter((F.col("upto") >= F.greatest(F.ceil(F.col("n") * F.col("fraction")), F.lit(1))) & F.col("value").isNotNull())
+    best = found.groupBy("column", "which").agg(F.min("value").alias("value"))
+    listed = best.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("which", "value"))).alias("held"))
+    value = [F.try_element_at("held", F.lit(j)) for j in range(len(fractions))]
+    value = [F.when(x == float("inf"), float("nan")).otherwise(x) for x in value]
+    return listed.select("column", F.array(*value).alias("quantiles"))
+
+
+def quantile(df: DataFrame, name: str, fraction: float, size: int = SKETCH_SIZE, exact: bool = False) -> DataFrame:
+    """One row, one column ``quantile``: the value at that fraction of the column.
+
+    By sketch, or exactly with a second scan.
+    """
+    if exact:
+        found = _exact(df.select(name), {0: name}, [fraction], size)
+        return found.agg(F.max(F.get("quantiles", F.lit(0))).alias("quantile"))
+    sketch = _in_steps(
+        df, [_sketch(name, size).alias("_sketch")], [F.kll_merge_agg_double("_sketch", F.lit(size)).alias("_sketch")]
+    )
+    return sketch.select(F.get(_quantiles("_sketch", [fraction]), F.lit(0)).alias("quantile"))
 
 
 def _missing(field: T.StructField) -> Column:
@@ -65,11 +120,14 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def quality_profile(df: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+def quality_profile(df: DataFrame, size: int = SKETCH_SIZE, exact: bool = False) -> DataFrame:
     """One row per column: NULLs as in ``null_profile``, and for numeric columns the min,
-    max, mean and quartiles (NULL without values). One scan for all of it."""
+    max, mean and quartiles (NULL without values), all as doubles.
+
+    One scan for all of it; the quartiles are those of a sketch, or exact with a second scan.
+    """
     partial = [F.count("*").alias("total")]
-    merged = [F.sum("total").alias("total")]
+    merged = [F.coalesce(F.sum("total"), F.lit(0)).alias("total")]
     rows = []
     for i, field in enumerate(df.schema):
         name, numeric = field.name, isinstance(field.dataType, T.NumericType)
@@ -90,7 +148,7 @@ def quality_profile(df: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
                 F.min(f"low{i}").alias(f"low{i}"),
                 F.max(f"high{i}").alias(f"high{i}"),
                 F.sum(f"sum{i}").alias(f"sum{i}"),
-                F.sum(f"n{i}").alias(f"n{i}"),
+                F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}"),
                 F.kll_merge_agg_double(f"sketch{i}", F.lit(size)).alias(f"sketch{i}"),
             ]
             low, high = F.col(f"low{i}"), F.col(f"high{i}")
@@ -105,18 +163,22 @@ def quality_profile(df: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
             mean.alias("mean"),
             quartiles.alias("quartiles"),
         ))
-    stats = df.groupBy(_group().alias("_group")).agg(*partial).agg(*merged)
-    profile = stats.select(F.inline(F.array(*rows)))
+    profile = _in_steps(df, partial, merged).select(F.inline(F.array(*rows)))
+    numbers = {i: f.name for i, f in enumerate(df.schema) if isinstance(f.dataType, T.NumericType)}
+    if exact and numbers:
+        named = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
+        found = _exact(df, numbers, [0.25, 0.5, 0.75], size).select(named[F.col("column")].alias("column_name"), "quantiles")
+        profile = profile.join(found, "column_name", "left").withColumn("quartiles", F.col("quantiles")).drop("quantiles")
     quartiles = {q: F.get("quartiles", F.lit(i)) for i, q in enumerate(["p25", "p50", "p75"])}
     return profile.withColumns(quartiles).drop("quartiles")
 
 
-def numeric_profile(df: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+def numeric_profile(df: DataFrame, size: int = SKETCH_SIZE, exact: bool = False) -> DataFrame:
     """The numeric part of ``quality_profile``; reads only the numeric columns."""
     names = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     if not names:
         raise ValueError("the table has no numeric column")
-    return quality_profile(df.select(*names), size).drop("null_count", "null_pct")
+    return quality_profile(df.select(*names), size, exact).drop("null_count", "null_pct")
 
 
 def dataset_info(df: DataFrame) -> DataFrame:

@@ -40,12 +40,12 @@ def clean(
     target: str,
     reports: str,
     pattern: str = "*.parquet",
-    rare_duplicates: bool = True,
+    rare_duplicates: bool = False,
     **options,
 ) -> None:
     """Profile the raw trips, clean them, and report what was removed.
 
-    Full copies of a trip are rare, so by default rows are not shuffled to find them.
+    ``rare_duplicates`` leaves rows where they are if few have copies; see ``drop_rare_duplicates``.
     """
     df = tables.read_trips(spark, raw, pattern)
     tables.write_report(profile.dataset_info(df), f"{reports}/dataset_info")

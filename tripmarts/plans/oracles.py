@@ -96,19 +96,20 @@ def location_stats(source: str) -> str:
 stats AS (
     SELECT PULocationID,
            count(*) AS trip_count,
-           avg(fare_amount) AS avg_fare,
-           sum(total_revenue) AS total_revenue,
+           CAST(sum(CAST(fare_amount AS DECIMAL(18,4))) AS DOUBLE) / count(fare_amount) AS avg_fare,
+           CAST(sum(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
            avg(trip_distance) AS avg_distance,
            avg(trip_duration_minutes) AS avg_duration,
            CAST(sum(is_high_value) AS BIGINT) AS high_value_trips,
-           sum(total_revenue) * count(*) / 1000000 AS profit_score
+           CAST(sum(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE) * count(*) / 1000000 AS profit_score
     FROM {source} GROUP BY PULocationID
 )"""
 
 
 def stats_columns() -> str:
     names = ["avg_fare", "total_revenue", "avg_distance", "avg_duration", "profit_score"]
-    doubles = ", ".join(f"round({name}, 4) AS {name}" for name in names)
+    # Rounded as decimals: multiplying a double by 10,000 first moves exact ties to either side.
+    doubles = ", ".join(f"CAST(round(CAST({name} AS DECIMAL(38,10)), 4) AS DOUBLE) AS {name}" for name in names)
     return f"PULocationID, trip_count, high_value_trips, {doubles}"
 
 
@@ -150,9 +151,9 @@ METRICS = """
 metrics AS (
     SELECT cluster,
            count(*) AS trip_count,
-           avg(fare_amount) AS avg_fare,
-           avg(total_revenue) AS avg_revenue,
-           sum(total_revenue) AS total_revenue,
+           CAST(sum(CAST(fare_amount AS DECIMAL(18,4))) AS DOUBLE) / count(fare_amount) AS avg_fare,
+           CAST(sum(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE) / count(total_revenue) AS avg_revenue,
+           CAST(sum(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
            avg(trip_duration_minutes) AS avg_duration_minutes,
            avg(pickup_hour) AS avg_hour
     FROM clustered GROUP BY cluster
@@ -444,8 +445,8 @@ SELECT trip_id, PULocationID, latitude, longitude, cluster, distance FROM cluste
     ),
     "cluster_stats": with_ctes(ON_CLUSTERS, """
 SELECT cluster, count(*) AS trip_count, round(avg(latitude), 4) AS center_lat,
-       round(avg(longitude), 4) AS center_lon, round(avg(fare_amount), 4) AS avg_fare,
-       round(avg(total_revenue), 4) AS avg_revenue
+       round(avg(longitude), 4) AS center_lon, round(CAST(sum(CAST(fare_amount AS DECIMAL(18,4))) AS DOUBLE) / count(fare_amount), 4) AS avg_fare,
+       round(CAST(sum(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE) / count(total_revenue), 4) AS avg_revenue
 FROM clustered GROUP BY cluster"""),
     "cluster_metrics": with_ctes(ON_METRICS, f"SELECT {METRIC_COLUMNS} FROM metrics"),
     "peak_hour": with_ctes(ON_CLUSTERS, """

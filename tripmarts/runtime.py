@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,6 +14,9 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder; a cluster without
     the setting is an error, since a machine-local folder is lost with its machine.
+    ``local-cluster`` counts as a cluster. A ``file:`` folder is taken as given: it may be a
+    mount that all machines share. Everything lies below ``<folder>/tripmarts`` or in the
+    engine's checkpoint folders; :func:`remove_work` deletes the former.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -20,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="tripmarts-")
     context.setCheckpointDir(folder)
@@ -39,3 +43,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Delete the tables below the shared folder; no result that still reads them may be in use."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tripmarts")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

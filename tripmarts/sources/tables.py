@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmarts.schemas import CENTROID_SCHEMA, ZONE_SCHEMA
 
@@ -50,16 +51,32 @@ def read_features_or_raw(spark: SparkSession, features: str, raw: str) -> DataFr
     return read_trips(spark, raw)
 
 
+def _read_by_name(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """CSV columns by the names in the header, in any order and case; other columns are left out.
+
+    A missing column is an error. Values that do not fit a column's type are NULL.
+    """
+    fields = T.StructType.fromDDL(schema)
+    raw = spark.read.option("header", True).csv(path)
+    names = {name.lower(): name for name in raw.columns}
+    missing = [field.name for field in fields if field.name.lower() not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return raw.select(*[
+        F.col(f"`{names[field.name.lower()]}`").try_cast(field.dataType).alias(field.name) for field in fields
+    ])
+
+
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
     """Zone names: (LocationID, Zone, Borough)."""
     _require(spark, path)
-    return spark.read.schema(ZONE_SCHEMA).option("header", True).csv(path)
+    return _read_by_name(spark, path, ZONE_SCHEMA)
 
 
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:
     """Zone centroids: (LocationID, latitude, longitude)."""
     _require(spark, path)
-    return spark.read.schema(CENTROID_SCHEMA).option("header", True).csv(path)
+    return _read_by_name(spark, path, CENTROID_SCHEMA)
 
 
 def write_table(
@@ -113,15 +130,14 @@ def clustered_trips(df: DataFrame, cluster: str = "cluster") -> DataFrame:
 
 
 def audit_files(spark: SparkSession, folder: str, expected: Sequence[str]) -> DataFrame:
-    """One row per expected file name: ``is_present`` (exists and is not empty) and its bytes.
+    """One row per expected table: ``is_present`` (exists and is not empty) and its bytes.
 
-    Lists the folder without opening the files.
+    A table is a file or a folder of part files. Lists the folder without opening the files.
     """
-    found = (
-        spark.read.format("binaryFile")
-        .load(folder)
-        .select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
-    )
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder).toUri().getPath().rstrip("/")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    below = F.substring_index("path", f"{root}/", -1)
+    found = listed.groupBy(F.substring_index(below, "/", 1).alias("file")).agg(F.sum("length").alias("length"))
     wanted = spark.createDataFrame([(name,) for name in expected], "file STRING")
     return wanted.join(found, "file", "left").select(
         "file",
