@@ -8,10 +8,10 @@ import compare
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tripmarts.plans.oracles import ORACLES
+from tripmarts.plans.queries import REGISTRY as QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = queries()
-ORACLES = oracle_sql()
 # Pairs of all rows, and row data sent to Python workers.
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas")
 
@@ -37,6 +37,8 @@ def test_gives_rows(spark, name):
 
 def test_no_oracle_without_query():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
