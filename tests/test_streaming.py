@@ -122,3 +122,8 @@ def test_live_trips_feed_the_batch_operators(spark, inbox):
     assert locations.top_locations(
         parsed.groupBy("PULocationID").agg(F.count("*").alias("trip_count")), "trips", 3
     ).count() == 3
+
+
+def test_snapshot_before_the_first_batch(spark, tmp_path):
+    schema = spark.range(0).schema
+    assert sinks.latest_snapshot(spark, str(tmp_path / "none"), schema).count() == 0

@@ -546,3 +546,7 @@ ORACLES["zone_enrich_large"] = ORACLES["zone_enrich"]
 ORACLES["location_stats_from_cells"] = ORACLES["location_stats"]
 ORACLES["cluster_stats_from_cells"] = ORACLES["cluster_stats"]
 ORACLES["cluster_metrics_from_cells"] = ORACLES["cluster_metrics"]
+ORACLES["stream_live_counts"] = with_ctes([TRIPS], """
+SELECT PULocationID, count(*) AS trip_count FROM (
+    SELECT PULocationID FROM trips UNION ALL SELECT NULL FROM trips WHERE tip_amount > 0
+) GROUP BY PULocationID ORDER BY trip_count DESC, PULocationID NULLS FIRST LIMIT 10""")

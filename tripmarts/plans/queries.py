@@ -598,7 +598,7 @@ def _running(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path, checkpoint = work_path(spark, "snapshots"), work_path(spark, "checkpoint")
     sinks.to_snapshots(df, path, checkpoint, sinks.DONE, files=1).awaitTermination()
-    return sinks.latest_snapshot(spark, path)
+    return sinks.latest_snapshot(spark, path, df.schema)
 
 
 @query
@@ -624,3 +624,14 @@ def stream_cluster_counts(spark: SparkSession, folder: str) -> DataFrame:
 def stream_top_locations(spark: SparkSession, folder: str) -> DataFrame:
     trips = live.parse_messages(_messages(spark, folder), TRIP_MESSAGE)
     return _running(live.running_top_locations(trips))
+
+
+@query
+def stream_live_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Top locations over six batches of one file each, the last one malformed, with the full message schema."""
+    path = work_path(spark, "messages")
+    trips = star.event_trips(spark, folder)
+    tables.write_table(messages.to_messages(trips).repartition(5), path)
+    broken = trips.filter(F.col("tip_amount") > 0).select(F.concat(F.lit("no trip "), F.col("trip_id")).alias("value"))
+    broken.repartition(1).write.mode("append").parquet(path)
+    return _running(live.live_counts(live.message_stream(spark, "parquet", path, {"maxFilesPerTrigger": "1"})))

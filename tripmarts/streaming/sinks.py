@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tripmarts.sources.tables import path_exists
+
 DONE = {"availableNow": True}
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
-# Running results kept at a time.
+# Running results kept at a time, unless the caller asks for more.
 SLOTS = 10
 
 
@@ -43,8 +46,9 @@ def to_snapshots(
     checkpoint: str,
     trigger: dict = EVERY_5_SECONDS,
     files: int | None = None,
+    slots: int = SLOTS,
 ) -> StreamingQuery:
-    """Write the whole running result of each batch into the next of a ring of partitions.
+    """Write the whole running result of each batch into the next of a ring of ``slots`` partitions.
 
     ``path`` belongs to one checkpoint: batch numbers tell which result is the latest.
 
@@ -57,7 +61,7 @@ def to_snapshots(
         numbered = result.withColumn("batch", F.lit(batch).cast("bigint"))
         if files is not None:
             numbered = numbered.repartition(files)
-        numbered.write.mode("overwrite").parquet(f"{path}/slot={batch % SLOTS}")
+        numbered.write.mode("overwrite").parquet(f"{path}/slot={batch % slots}")
 
     return (
         df.writeStream.outputMode("complete")
@@ -68,8 +72,13 @@ def to_snapshots(
     )
 
 
-def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The running result of the last batch."""
+def latest_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The running result of the last batch; with a schema, empty if no batch has been written.
+
+    A running result only grows, so the last batch is the last one with rows.
+    """
+    if schema is not None and not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
     snapshots = spark.read.parquet(path)
     last = snapshots.agg(F.max("batch")).scalar()
     return snapshots.filter(F.col("batch") == last).drop("batch", "slot")
