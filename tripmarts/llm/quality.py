@@ -178,5 +178,5 @@ def keep_good(
     """The documents that :func:`quality_scores` keeps, with all their columns."""
     ratios = fitted_ratios(documents, trusted, key=key, text=text)
     made, columns = verdict(F.col(text), ratios, threshold=threshold)
-    rows = documents.select(F.struct("*").alias("row"), made.alias("made"))
-    return rows.filter(columns(F.col("made"))["kept"]).select("row.*")
+    # Bound to a variable, as a filter that names a column repeats its whole expression.
+    return documents.filter(let(made, lambda made: columns(made)["kept"]))
