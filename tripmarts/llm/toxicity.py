@@ -9,7 +9,7 @@ is the toxic one: first from sampled windows of all texts, then from the windows
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -203,7 +203,7 @@ def windows_matrix(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return index, mask
 
 
-def train(texts: list[list[list[str]]], labels: list[int], seed: int = SEED, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+def train(texts: Iterable[list[list[str]]], labels: list[int], seed: int = SEED, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """Model from the sampled windows (lists of words) of labelled texts."""
     model, draw = new_model(seed), np.random.default_rng(seed)
     if not labels or len(set(labels)) < 2:
@@ -351,13 +351,8 @@ class _Index(dict):
         return number
 
 
-def training_windows(labelled: DataFrame, rows: int = TRAIN_ROWS, windows: int = TRAIN_WINDOWS) -> DataFrame:
-    """``toxic, windows`` of a bounded sample: per class the ``rows`` rows with the smallest id hashes.
-
-    Of each text up to ``windows`` windows, drawn evenly from the whole text by its id.
-    """
-    order = F.xxhash64("doc_id")
-    parts = [labelled.filter(F.col("toxic") == label).orderBy(order, "doc_id").limit(rows) for label in (0, 1)]
+def training_windows(labelled: DataFrame, windows: int = TRAIN_WINDOWS) -> DataFrame:
+    """``doc_id, toxic, windows``: up to ``windows`` windows of each text, drawn evenly from the whole text by its id."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -373,7 +368,7 @@ def training_windows(labelled: DataFrame, rows: int = TRAIN_ROWS, windows: int =
                     pa.array([made], pa.list_(pa.list_(pa.string()))),
                 ], ["doc_id", "toxic", "windows"])
 
-    sample = parts[0].union(parts[1]).select("doc_id", "toxic", "text")
+    sample = labelled.select("doc_id", "toxic", "text")
     return sample.mapInArrow(cut, "doc_id long, toxic long, windows array<array<string>>")
 
 
@@ -382,7 +377,7 @@ def fit(
 ) -> dict[str, np.ndarray]:
     """Model from the labelled documents that are not held out, of which a bounded sample serves.
 
-    Documents with NULL id or label do not serve; ids with contradicting labels count as toxic.
+    Per class those are the ``rows`` ids with the smallest hashes, and of each text ``windows`` windows. Documents with NULL id or label do not serve; ids with contradicting labels count as toxic.
     """
     marks = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).dropna()
     marks = marks.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -391,9 +386,11 @@ def fit(
     chosen = [marks.filter(F.col("toxic") == label).orderBy(order, "doc_id").limit(rows) for label in (0, 1)]
     chosen = F.broadcast(chosen[0].union(chosen[1]))
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sample = training_windows(texts.join(chosen, "doc_id"), rows, windows).collect()
-    sample = sorted(sample, key=lambda row: (zlib.crc32(str(row.doc_id).encode()), row.doc_id, row.windows))
-    return train([row.windows for row in sample], [row.toxic for row in sample], seed)
+    sample = training_windows(texts.join(chosen, "doc_id"), windows).toArrow()
+    order = sample.append_column("place", pa.array([zlib.crc32(str(x).encode()) for x in sample["doc_id"].to_pylist()], pa.int64()))
+    sample = order.sort_by([("place", "ascending"), ("doc_id", "ascending")])
+    # One text at a time becomes Python strings; the rest stays in Arrow's buffers.
+    return train((one.as_py() for one in sample["windows"]), sample["toxic"].to_pylist(), seed)
 
 
 def held_out(doc_id):
