@@ -11,6 +11,7 @@ import json
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -228,7 +229,8 @@ class Coder:
             if len(self.index) > REMEMBERED:
                 self.forget()
             total = sum(len(words) for _, words in listed)
-            codes = np.fromiter(map(self.index.__getitem__, (w for _, words in listed for w in words)), np.int64, total)
+            every = chain.from_iterable(words for _, words in listed)
+            codes = np.fromiter(map(self.index.__getitem__, every), np.int64, total)
             self._learn()
             lengths = self.lengths[codes]
             ends = np.cumsum(lengths)
