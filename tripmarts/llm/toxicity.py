@@ -26,8 +26,8 @@ MIN_TEXTS = 3
 GRAMS = (3, 4, 5)
 CUTOFF = 0.7
 # Labelled rows of each class that serve for training at most, and windows of each.
-TRAIN_ROWS = 1000
-TRAIN_WINDOWS = 16
+TRAIN_ROWS = 1500
+TRAIN_WINDOWS = 24
 ROUNDS = 7
 # Steps of a round at least.
 STEPS = 40
