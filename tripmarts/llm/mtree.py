@@ -25,11 +25,11 @@ from tripmarts.llm.common import count_of, kept
 SCALE = 1024
 K = 10
 # Entries of a page, vectors of a tree and queries searched together.
-PAGE = 64
+PAGE = 256
 SHARD_VECTORS = 8192
 QUERY_BLOCK = 256
-# Rounding error of distances that bounds allow for, relative to the largest norm.
-SLACK = 1e-9
+# Rounding error of distances that bounds allow for, relative to the lengths: that of squares is some 1e-15.
+SLACK = 1e-6
 
 
 class Tree:
@@ -92,8 +92,12 @@ def build(points: np.ndarray, page: int = PAGE) -> Tree:
     return Tree(first, entry.astype(np.int64), child.astype(np.int64), parent.astype(float), radius.astype(float))
 
 
-def search(tree: Tree, points: np.ndarray, query: np.ndarray, k: int, limit: float, slack: float) -> np.ndarray:
-    """Vectors among which the k nearest within ``limit`` are, ties included."""
+def search(tree: Tree, entries: np.ndarray, norm: float, query: np.ndarray, k: int, limit: float, slack: float) -> np.ndarray:
+    """Vectors among which the k nearest within ``limit`` are, ties included.
+
+    ``entries`` are the lifted vectors of the tree's entries, page by page; all have squared length ``norm``.
+    """
+    own = norm + float(query @ query)
     best: list[float] = []  # negated distances of the k nearest so far
     found: list[np.ndarray] = []
     waiting = [(0.0, 0, 0.0, False)]  # least distance, page, query to the page's routing vector, known
@@ -108,7 +112,8 @@ def search(tree: Tree, points: np.ndarray, query: np.ndarray, k: int, limit: flo
             at = at[np.abs(to_route - tree.parent[at]) - tree.radius[at] <= reach]
             if not len(at):
                 continue
-        away = distances(points[tree.entry[at]], query)
+        near = entries[at[0] : at[-1] + 1] if len(at) == at[-1] + 1 - at[0] else entries[at]
+        away = np.sqrt(np.maximum(own - 2.0 * (near @ query), 0.0))
         leaf = tree.child[at] < 0
         for e, d in zip(at[~leaf].tolist(), away[~leaf].tolist(), strict=True):
             bound = max(0.0, d - tree.radius[e])
@@ -176,12 +181,12 @@ def _search_blocks(norm: float, k: int):
     """Arrow mapper over rows (shard, asks, blob), where a shard's tree comes before the query blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, points = None, None
+        tree, entries = None, None
         for batch in batches:
             for n in range(batch.num_rows):
                 blob = pickle.loads(batch.column("blob")[n].as_py())
                 if not batch.column("asks")[n].as_py():
-                    tree, points = blob, lifted(blob[1], norm)
+                    tree, entries = blob, lifted(blob[1], norm)[blob[2].entry]
                     continue
                 keys, whole, pages = tree
                 out = [[np.zeros(0, np.int64)] * 3]
@@ -189,9 +194,9 @@ def _search_blocks(norm: float, k: int):
                     # A score s is the squared distance |query|^2 + norm - 2 s.
                     own = float((vector.astype(float) ** 2).sum())
                     limit = np.sqrt(max(0.0, own + norm - 2 * low)) if np.isfinite(low) else np.inf
-                    slack = SLACK * np.sqrt(norm + own + 1) + 1e-6
+                    slack = SLACK * np.sqrt(norm + own + 1)
                     # One more, as the query itself may be among them.
-                    near = search(pages, points, np.append(vector.astype(float), 0.0), k + 1, limit, slack)
+                    near = search(pages, entries, norm, np.append(vector.astype(float), 0.0), k + 1, limit, slack)
                     near = near[keys[near] != query_id]
                     scores = whole[near] @ vector
                     order = np.lexsort((keys[near], -scores))[:k]
