@@ -25,6 +25,8 @@ RADIUS = 4
 SEGMENTS = 3
 # Fingerprints of one side compared in one task; larger table entries are dealt out as pairs of blocks.
 BLOCK = 8192
+# Large table entries whose list is sent to every task at most, some 2 MB.
+LISTED = 50_000
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _GAPS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
@@ -112,24 +114,28 @@ def links(
         value = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
         own = distinct.select(F.lit(n).alias("segment"), value.alias("value"), "fp")
         tables.append(own)
-        # The fingerprints of one value look each other up too: mask 0.
-        masks = F.explode(F.array(*(F.lit(mask).cast("long") for mask in flips(width, reach))))
-        ball = own.select("segment", "value", "fp", masks.alias("mask"))
-        looks.append(ball.select("segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"), "fp", "mask"))
-    table, look = reduce(DataFrame.union, tables), reduce(DataFrame.union, looks)
+        # The ball without its centre: fingerprints of one value meet as table entries.
+        masks = [F.lit(mask).cast("long") for mask in flips(width, reach) if mask]
+        if masks:
+            ball = own.select("segment", "value", "fp", F.explode(F.array(*masks)).alias("mask"))
+            looks.append(ball.select("segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"), "fp"))
+    table = reduce(DataFrame.union, tables).withColumn("entry", F.lit(True))
+    sides = reduce(DataFrame.union, [table, *(look.withColumn("entry", F.lit(False)) for look in looks)])
     held = table.groupBy("segment", "value").agg(F.count("*").alias("held"))
-    look = look.join(held, ["segment", "value"]).filter("mask <> 0 OR held > 1")
-    # Large entries are dealt out in parts; whoever looks them up visits every part.
-    parts = F.ceil(F.col("held") / block).cast("int")
-    asked = look.select(
-        "segment", "value", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(False).alias("entry"), "fp"
-    )
-    large = held.filter(F.col("held") > block)
-    table = table.join(large, ["segment", "value"], "left")
-    part = F.coalesce(F.pmod(F.xxhash64("fp"), parts), F.lit(0)).cast("int")
-    entries = table.select("segment", "value", part.alias("part"), F.lit(True).alias("entry"), "fp")
+    large = kept(held.filter(F.col("held") > block), "large")
+    sides = sides.withColumn("part", F.lit(0))
+    if count := large.count():
+        # Large entries are dealt out in parts, and whoever meets them visits every part.
+        large = F.broadcast(large) if count <= LISTED else large
+        parts = F.coalesce(F.ceil(F.col("held") / block), F.lit(1)).cast("int")
+        sides = sides.drop("part").join(large, ["segment", "value"], "left").withColumn("parts", parts)
+        dealt = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+        entries = sides.filter("entry").withColumn("part", dealt)
+        visits = sides.filter("NOT entry OR parts > 1").withColumn("entry", F.lit(False))
+        visits = visits.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        sides = entries.unionByName(visits)
     keys = ["segment", "value", "part"]
-    dealt = entries.union(asked).repartition(*keys).sortWithinPartitions(*keys, F.desc("entry"))
+    dealt = sides.select(*keys, "entry", "fp").repartition(*keys).sortWithinPartitions(*keys, F.desc("entry"))
     return dealt.mapInArrow(_forests(radius, 4 * block), "a long, b long")
 
 
@@ -139,35 +145,41 @@ def _forests(radius: int, at_once: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, table, asked, found = None, [], [], []
 
-        def compare():
-            if table and asked:
-                found.append(spanning_links(np.concatenate(table), np.concatenate(asked), radius))
+        def compare(last: bool):
+            if table:
+                entries = np.concatenate(table)
+                others = [*asked, entries] if last and len(entries) > 1 else asked
+                if others:
+                    found.append(spanning_links(entries, np.concatenate(others), radius))
             asked.clear()
 
         for batch in batches:
             keys = np.stack([batch.column(n).to_numpy().astype(np.int64) for n in ("segment", "value", "part")])
             entry = batch.column("entry").to_numpy(zero_copy_only=False)
             fps = batch.column("fp").to_numpy().astype(np.uint64)
+            if not len(fps):
+                continue
             starts = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))
             ends = np.append(starts[1:], len(fps))
-            looked = np.add.reduceat(~entry, starts) > 0
-            # Groups that end here without a look-up need no visit; the first and last may go on.
-            visit = looked.copy()
+            # Most groups are look-ups that meet nobody; the first and last may go on in another batch.
+            visit = (np.add.reduceat(entry.astype(np.int64), starts) > 0) & (ends - starts > 1)
             visit[[0, -1]] = True
             for a, b in zip(starts[visit].tolist(), ends[visit].tolist(), strict=True):
                 key = tuple(keys[:, a].tolist())
                 if key != group:
-                    compare()
+                    compare(True)
                     table.clear()
                     group = key
-                table.append(fps[a:b][entry[a:b]])
-                asked.append(fps[a:b][~entry[a:b]])
+                if entry[a]:
+                    table.append(fps[a:b][entry[a:b]])
+                if not entry[b - 1]:
+                    asked.append(fps[a:b][~entry[a:b]])
                 if sum(map(len, asked)) >= at_once:
-                    compare()
+                    compare(False)
             if len(found) > 1000:
                 yield _pairs(found)
                 found.clear()
-        compare()
+        compare(True)
         if found:
             yield _pairs(found)
 
