@@ -6,13 +6,16 @@ first. As the weights sum to one, all blocks are on time, and after any number o
 has had its weight's share of them, less than one block more or less. When a source runs out, a new
 schedule starts for the rest, in proportion to their weights, until every document has its place.
 
-Weights are whole parts of a cycle, so a schedule is one cycle repeated: a small table, which
-documents look up by their number within their source.
+A cycle has as many slots as the weights' common denominator, so that weights are whole parts of it
+without rounding, and a schedule is one cycle repeated: a table which documents look up by their
+number within their source. Of a cycle longer than a phase only the phase's slots are made.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,14 +23,22 @@ from pyspark.sql import functions as F
 from tripmarts.llm.common import count_of
 
 BLOCK_DOCS = 16
-CYCLE = 1000
 # Rows numbered in one task.
 NUMBERED = 5000
 OTHER = "(other)"
 
 
-def parts_of(weights: dict[str, float], cycle: int = CYCLE) -> dict[str, int]:
-    """Whole parts of a cycle in proportion to the weights, one at least, by largest remainder."""
+def exact_parts(weights: dict[str, float]) -> dict[str, int]:
+    """The smallest whole parts in the very proportion of the weights, as these are written in decimals."""
+    exact = {name: Fraction(str(weight)) for name, weight in weights.items()}
+    unit = math.lcm(*(value.denominator for value in exact.values()))
+    parts = {name: int(value * unit) for name, value in exact.items()}
+    common = math.gcd(*parts.values())
+    return {name: part // common for name, part in parts.items()}
+
+
+def parts_of(weights: dict[str, float], cycle: int) -> dict[str, int]:
+    """Whole parts of a given cycle nearly in proportion to the weights, one at least, by largest remainder."""
     if len(weights) > cycle:
         raise ValueError("more sources than slots in a cycle")
     total = sum(weights.values())
@@ -43,8 +54,11 @@ def parts_of(weights: dict[str, float], cycle: int = CYCLE) -> dict[str, int]:
     return parts
 
 
-def cycle_slots(parts: dict[str, int]) -> dict[str, list[int]]:
-    """Slots of each source in one cycle: among released blocks, the earliest deadline first."""
+def cycle_slots(parts: dict[str, int], blocks: dict[str, int] | None = None) -> dict[str, list[int]]:
+    """Slots of each source in one cycle: among released blocks, the earliest deadline first.
+
+    With ``blocks`` the slots end when one source has had its number of blocks.
+    """
     cycle = sum(parts.values())
     waiting = [(0, name, 0) for name in sorted(parts)]
     heapq.heapify(waiting)
@@ -58,15 +72,18 @@ def cycle_slots(parts: dict[str, int]) -> dict[str, list[int]]:
         if due <= slot:
             raise AssertionError("a deadline is missed")
         slots[name].append(slot)
+        if blocks is not None and block + 1 >= blocks[name]:
+            break
         if block + 1 < parts[name]:
             heapq.heappush(waiting, ((block + 1) * cycle // parts[name], name, block + 1))
     return slots
 
 
-def schedule(blocks: dict[str, int], weights: dict[str, float], cycle: int = CYCLE) -> list[tuple]:
+def schedule(blocks: dict[str, int], weights: dict[str, float], cycle: int | None = None) -> list[tuple]:
     """Rows (source, first block, first slot, slots of a cycle, cycle length) for every phase.
 
-    A phase lasts until a source has had its last block.
+    A phase lasts until a source has had its last block. Weights count exactly, unless a ``cycle``
+    is given, to whose parts they are rounded.
     """
     done = dict.fromkeys(blocks, 0)
     start, rows = 0, []
@@ -75,29 +92,40 @@ def schedule(blocks: dict[str, int], weights: dict[str, float], cycle: int = CYC
         if not active:
             return rows
         weighted = {name: weight for name, weight in active.items() if weight > 0}
-        slots = cycle_slots(parts_of(weighted or dict.fromkeys(active, 1.0), cycle))
-        last = {}
-        for name, own in slots.items():
-            whole, rest = divmod(blocks[name] - done[name] - 1, len(own))
-            last[name] = whole * cycle + own[rest]
-        end = min(last.values())
+        weighted = weighted or dict.fromkeys(active, 1.0)
+        parts = exact_parts(weighted) if cycle is None else parts_of(weighted, cycle)
+        length = sum(parts.values())
+        slots = cycle_slots(parts, {name: blocks[name] - done[name] for name in parts})
+        made = sum(map(len, slots.values()))
+        if made < length:
+            end = made - 1
+        else:
+            last = []
+            for name, own in slots.items():
+                whole, rest = divmod(blocks[name] - done[name] - 1, len(own))
+                last.append(whole * length + own[rest])
+            end = min(last)
         for name, own in slots.items():
-            rows.append((name, done[name], start, own, cycle))
-            whole, rest = divmod(end + 1, cycle)
+            # In a phase shorter than its cycle a source may have no slot.
+            if own:
+                rows.append((name, done[name], start, own, length))
+            whole, rest = divmod(end + 1, length)
             done[name] += whole * len(own) + sum(slot < rest for slot in own)
         start += end + 1
 
 
 def mix(
     documents: DataFrame, weights: dict[str, float], *, other_weight: float = 0.0, key: str = "doc_id",
-    source: str = "source", block_docs: int = BLOCK_DOCS, cycle: int = CYCLE, numbered: int = NUMBERED,
+    source: str = "source", block_docs: int = BLOCK_DOCS, cycle: int | None = None, numbered: int = NUMBERED,
+    ties: tuple[str, ...] = (),
 ) -> DataFrame:
     """All columns of ``documents`` and ``mix_source, mix_block, mix_slot, mix_position``.
 
     ``weights`` names the sources; rows of others, and of NULL, form one source of weight
     ``other_weight``, and with weight 0 they follow when the others are through. Sorting by
     ``mix_position`` gives the mix; nothing is dropped or repeated. Documents of a source keep an
-    order drawn from their keys; equal keys are numbered in any order. An empty table stays empty.
+    order drawn from their keys; equal keys are ordered by the columns ``ties``, and without them in
+    any way. An empty table stays empty.
 
     Numbering splits every source by key hash, so a source of any size is many tasks' work.
     """
@@ -113,7 +141,7 @@ def mix(
     order = Window.partitionBy("mix_source").orderBy("mix_deal")
     before = F.sum("held").over(order.rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.select("mix_source", "mix_deal", F.coalesce(before, F.lit(0)).alias("mix_before"))
-    inside = Window.partitionBy("mix_source", "mix_deal").orderBy(F.xxhash64(key), key)
+    inside = Window.partitionBy("mix_source", "mix_deal").orderBy(F.xxhash64(key), key, *ties)
     rows = rows.withColumn("mix_number", F.row_number().over(inside) - 1)
     rows = rows.join(counts, ["mix_source", "mix_deal"])
     number = F.col("mix_before") + F.col("mix_number")
@@ -123,7 +151,7 @@ def mix(
     })
     # The plan has a row for each source and phase, both bounded by the number of weights.
     phases = documents.sparkSession.createDataFrame(
-        plan, "mix_source string, first_block long, first_slot long, slots array<int>, cycle int"
+        plan, "mix_source string, first_block long, first_slot long, slots array<long>, cycle long"
     )
     phases = phases.groupBy("mix_source").agg(
         F.array_sort(F.collect_list(F.struct("first_block", "first_slot", "slots", "cycle"))).alias("mix_phases")
