@@ -19,6 +19,8 @@ from tripmarts.llm.common import count_of, words
 CAPACITY = 2048
 # Documents packed together in one task.
 SHARD_DOCS = 4096
+# Bin ids set apart for each shard of a mix, more than the pieces that one shard can have.
+SHARD_BINS = 1 << 32
 
 
 class Bins:
@@ -59,7 +61,9 @@ def _bits(values: pd.Series) -> list[int]:
 PACKED = "doc_id long, piece long, bin_id long, bin_offset long, piece_start long, piece_size long, source string"
 
 
-def _pack_shard(capacity: int, shards: int):
+def _pack_shard(capacity: int, shards: int | None):
+    """``shards`` is None for shards in the order of a position: their bins are numbered by it."""
+
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["size", "doc_id", "cluster"], ascending=[False, True, True], na_position="last")
         bins, out = Bins(capacity), []
@@ -79,7 +83,15 @@ def _pack_shard(capacity: int, shards: int):
         made = pd.DataFrame(out, columns=["n", "piece", "bin", "bin_offset", "piece_start", "piece_size"])
         made["doc_id"] = pd.array([None if x is None else int(x) for x in rows["doc_id"]], "Int64")[made["n"]]
         made["source"] = rows["source"].to_numpy()[made["n"]]
-        made["bin_id"] = made["bin"] * shards + shard
+        if shards is None:
+            # Bins in the order of the first document they hold, a long document's pieces in their own.
+            made["position"] = rows["position"].to_numpy()[made["n"]]
+            first = made.groupby("bin", as_index=False).agg({"position": "min", "piece": "min"})
+            first = first.sort_values(["position", "piece", "bin"])["bin"].tolist()
+            rank = {number: n for n, number in enumerate(first)}
+            made["bin_id"] = shard * SHARD_BINS + made["bin"].map(rank)
+        else:
+            made["bin_id"] = made["bin"] * shards + shard
         return made[["doc_id", "piece", "bin_id", "bin_offset", "piece_start", "piece_size", "source"]]
 
     return pack
@@ -88,6 +100,7 @@ def _pack_shard(capacity: int, shards: int):
 def pack(
     documents: DataFrame, *, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS, key: str = "doc_id",
     text: str = "text", source: str = "source", cluster: str | None = None, size: str | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """One row per piece: ``doc_id, piece, bin_id, bin_offset, piece_start, piece_size, source``.
 
@@ -97,16 +110,25 @@ def pack(
     texts are a cluster). NULL sources and clusters conflict with nothing; NULL and negative sizes
     count as 0, and a document of size 0 takes a place of its own in a bin. Shards by hash of key
     and text are packed apart, each largest first, ties by key, so the result is the same in every run.
+
+    With column ``position``, the different places of the documents in a mix, every ``shard_docs``
+    places in a row are a shard instead, and bins are numbered in the order of the mix: all bins of
+    a shard before those of the next, and in a shard by the first place they hold. ``bin_id`` then
+    has gaps between shards. With ``size`` and ``cluster`` as well, no text is read.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     measured = F.size(words(body)) if size is None else F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0))
-    rows = documents.select(
+    columns = [
         F.col(key).cast("long").cast("string").alias("doc_id"),
         F.col(source).cast("string").alias("source"),
         (F.xxhash64(body) if cluster is None else F.col(cluster)).cast("string").alias("cluster"),
         measured.cast("long").alias("size"),
-        F.xxhash64(F.col(key), body).alias("mixed"),
-    )
+    ]
+    if position is not None:
+        place = F.col(position).cast("long")
+        rows = documents.select(*columns, place.alias("position"), F.floor(place / shard_docs).cast("long").alias("shard"))
+        return rows.groupBy("shard").applyInPandas(_pack_shard(capacity, None), PACKED)
+    rows = documents.select(*columns, F.xxhash64(F.col(key), body).alias("mixed"))
     shards = count_of(documents.count(), shard_docs)
     rows = rows.withColumn("shard", F.pmod("mixed", F.lit(shards)).cast("int")).drop("mixed")
     return rows.groupBy("shard").applyInPandas(_pack_shard(capacity, shards), PACKED)
