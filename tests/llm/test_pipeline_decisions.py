@@ -37,3 +37,14 @@ def test_bins_follow_the_mix(spark):
     assert made.groupBy("bin_id", "source").count().filter("count > 1 AND source <> 's9'").count() == 0
     early = {row.doc_id for row in places.filter("bin_id < 4294967296").select("doc_id").collect()}
     assert sum(n % 3 == 0 for n in early) == pytest.approx(0.8 * len(early), abs=4)
+
+
+def test_near_copies_do_not_both_stay(spark):
+    words = [f"word{n * 7919 % 613}" for n in range(200)]
+    rows = [(9, " ".join(words)), (4, " ".join([*words[:100], "other", *words[101:]])), (5, " ".join(reversed(words)))]
+    rows += [(20 + n, " ".join([*words[: n * 5 + 20], f"new{n}", *words[n * 5 + 20 :]])) for n in range(30)]
+    # Half of the words are the same: no copies.
+    rows += [(60 + n, " ".join([*words[:100], *(f"own{n}x{k}" for k in range(100))])) for n in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(row.doc_id for row in corpus_pipeline.near_duplicate_stage(spark, docs, FOLDER).collect())
+    assert left == [4, 5, *range(60, 72)]
