@@ -1,8 +1,10 @@
 """Quality rules in DataFrame operations: base rules, then a likelihood ratio of hashed n-grams.
 
-Words and their endings are hashed to buckets. Two multinomials over the buckets, one of trusted
-documents and one of the whole corpus, give each n-gram a log-likelihood ratio; a document's score
-is the mean over its n-grams, and documents below a fixed threshold go.
+Words, their endings and pairs of neighbouring words are hashed to buckets. Two multinomials, one of
+trusted documents and one of the whole corpus, give each n-gram a log-likelihood ratio; words with
+endings have buckets and shares of their own, and so have pairs. A document's score is the lower of
+two means, the one over its words and endings and the one over its pairs, so that neither good words
+in a bad order nor known pairs of bad words pass. Documents below a fixed threshold go.
 """
 
 from __future__ import annotations
@@ -12,11 +14,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmarts.llm.common import GAP, words
+from tripmarts.llm.common import words
 
 BUCKETS = 1 << 14
+# Buckets of word pairs, which are more than words.
+PAIR_BUCKETS = 1 << 16
 # Added to every bucket count of both multinomials.
 SMOOTHING = 1.0
+# Added to every bucket count of pairs, once the trusted counts are brought to the size of the corpus: pairs
+# are rare in small tables, and a rare pair shall tell little.
+PAIR_SMOOTHING = 10.0
 # Least mean log-likelihood ratio of a document that is kept.
 THRESHOLD = -0.6
 MIN_WORDS = 10
@@ -86,12 +93,25 @@ def word_buckets(word: Column, buckets: int = BUCKETS) -> list[Column]:
     return [F.pmod(hashed, F.lit(buckets)).cast("int") for hashed in (F.xxhash64(word), F.xxhash64(ending, F.lit(ENDING)))]
 
 
+def pair_bucket(before: Column, hashed: Column, pair_buckets: int = PAIR_BUCKETS) -> Column:
+    """Bucket of two neighbouring words, from their hashes; all words that repeat their neighbour share one."""
+    return F.pmod(F.when(before == hashed, F.xxhash64(F.lit("="))).otherwise(F.xxhash64(before, hashed)), F.lit(pair_buckets)).cast("int")
+
+
+def pairs_of(hashes: Column, pair_buckets: int = PAIR_BUCKETS) -> Column:
+    """Buckets of the pairs of a text, from the hashes of its words."""
+    return F.transform(
+        F.slice(hashes, 2, F.greatest(F.size(hashes) - 1, F.lit(0))), lambda x, i: pair_bucket(F.get(hashes, i), x, pair_buckets)
+    )
+
+
 def log_ratios(
-    documents: DataFrame, trusted: DataFrame, *, key: str = "doc_id", text: str = "text",
-    buckets: int = BUCKETS, smoothing: float = SMOOTHING, trusted_rows: int = TRUSTED_ROWS,
+    documents: DataFrame, trusted: DataFrame, *, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
+    pair_buckets: int = PAIR_BUCKETS, smoothing: float = SMOOTHING, trusted_rows: int = TRUSTED_ROWS,
 ) -> DataFrame:
-    """One row, column ``ratios``: per bucket log(trusted share / corpus share).
+    """One row, columns ``ratios`` and ``pair_ratios``: per bucket log(trusted share / corpus share).
 
+    Without pairs in trusted documents all ratios of pairs are 0.
     The corpus counts are those of all documents. ``trusted`` names the trusted documents by key;
     repeated and NULL keys add nothing. Of more than ``trusted_rows`` those with the smallest key
     hashes serve, so that the marks fit a broadcast and no text is shuffled.
@@ -100,36 +120,62 @@ def log_ratios(
     marks = marks.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(trusted_rows)
     rows = documents.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.join(F.broadcast(marks), F.col("doc_id") == F.col("trusted_id"), "left")
-    rows = rows.select("trusted_id", F.explode(F.split("text", GAP)).alias("word")).filter("word <> ''")
-    rows = rows.select("trusted_id", F.explode(F.array(*word_buckets(F.col("word"), buckets))).alias("bucket"))
+
+    def n_grams(listed: Column) -> Column:
+        single = F.flatten(F.transform(listed, lambda word: F.array(*word_buckets(word, buckets))))
+        hashes = F.transform(listed, lambda word: F.xxhash64(word))
+        pairs = let(hashes, lambda hashes: F.transform(pairs_of(hashes, pair_buckets), lambda x: x + F.lit(buckets)))
+        return F.concat(single, pairs)
+
+    # Buckets of pairs are numbered behind those of words.
+    rows = rows.select("trusted_id", F.explode(let(words(F.col("text")), n_grams)).alias("bucket"))
     counts = rows.groupBy("bucket").agg(F.count("*").alias("corpus"), F.count("trusted_id").alias("trusted"))
     # As many rows as there are buckets, whatever the corpus.
-    held = F.map_from_entries(F.collect_list(F.struct("bucket", F.struct("corpus", "trusted"))))
-    listed = counts.agg(held.alias("held"), F.sum("corpus").alias("all_corpus"), F.sum("trusted").alias("all_trusted"))
+    every = documents.sparkSession.range(buckets + pair_buckets).select(F.col("id").cast("int").alias("bucket"))
+    every = every.join(counts, "bucket", "left").fillna(0, ["corpus", "trusted"])
+    single = F.col("bucket") < buckets
+    listed = every.agg(
+        F.array_sort(F.collect_list(F.struct("bucket", "corpus", "trusted"))).alias("held"),
+        *(F.sum(F.when(single, F.col(name)).otherwise(0)).alias(f"word_{name}") for name in ("corpus", "trusted")),
+        *(F.sum(F.when(single, 0).otherwise(F.col(name))).alias(f"pair_{name}") for name in ("corpus", "trusted")),
+    )
 
     def share(count: Column, total: str) -> Column:
-        return (F.coalesce(count, F.lit(0)) + smoothing) / (F.coalesce(F.col(total), F.lit(0)) + smoothing * buckets)
+        return (count + smoothing) / (F.col(total) + smoothing * buckets)
 
-    def ratio(bucket: Column) -> Column:
-        found = F.try_element_at(F.col("held"), bucket)
-        return F.log(share(found["trusted"], "all_trusted") / share(found["corpus"], "all_corpus"))
+    def ratio(found: Column) -> Column:
+        return F.log(share(found["trusted"], "word_trusted") / share(found["corpus"], "word_corpus"))
 
-    return listed.select(F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), ratio).alias("ratios"))
+    def pair_ratio(found: Column) -> Column:
+        scaled = F.try_divide(found["trusted"] * F.col("pair_corpus"), F.col("pair_trusted"))
+        told = F.log((scaled + PAIR_SMOOTHING) / (found["corpus"] + PAIR_SMOOTHING))
+        return F.when(F.col("pair_trusted") > 0, told).otherwise(F.lit(0.0))
+
+    return listed.select(
+        F.transform(F.slice("held", 1, buckets), ratio).alias("ratios"),
+        F.transform(F.slice("held", buckets + 1, pair_buckets), pair_ratio).alias("pair_ratios"),
+    )
 
 
-def fitted_ratios(documents: DataFrame, trusted: DataFrame, **options) -> Column:
-    """:func:`log_ratios` as a literal of ``buckets`` numbers: functions of array elements hold no subquery."""
+def fitted_ratios(documents: DataFrame, trusted: DataFrame, **options) -> tuple[Column, Column]:
+    """:func:`log_ratios` as literals of numbers, of words and of pairs: functions of array elements hold no subquery."""
     ratios = log_ratios(documents, trusted, **options)
-    listed = ratios.select(F.array_join(F.transform("ratios", lambda x: x.cast("string")), ",")).first()[0]
-    return F.split(F.lit(listed), ",").cast("array<double>")
+    row = ratios.select(
+        *(F.array_join(F.transform(name, lambda x: x.cast("string")), ",") for name in ("ratios", "pair_ratios"))
+    ).first()
+    return tuple(F.split(F.lit(listed), ",").cast("array<double>") for listed in row)
 
 
-def verdict(text: Column, ratios: Column, *, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> tuple[Column, Callable]:
+def verdict(
+    text: Column, fitted: tuple[Column, Column], *, buckets: int = BUCKETS, pair_buckets: int = PAIR_BUCKETS,
+    threshold: float = THRESHOLD,
+) -> tuple[Column, Callable]:
     """A struct of a text's measures, and what makes the result's columns of that struct.
 
     The struct is one expression, so that no array of words becomes a column.
     """
     text = F.coalesce(text, F.lit(""))
+    ratios, pair_ratios = fitted
 
     def measured(listed: Column) -> Column:
         total = F.aggregate(
@@ -138,16 +184,21 @@ def verdict(text: Column, ratios: Column, *, buckets: int = BUCKETS, threshold:
             lambda held, word: sum((ratios[bucket] for bucket in word_buckets(word, buckets)), held),
         )
         hashes = F.transform(listed, lambda word: F.xxhash64(word))
-        base = let(hashes, lambda hashes: F.struct(
-            *(measure.alias(name) for name, measure in base_measures(text, listed, hashes).items())
-        ))
-        return F.struct(base.alias("base"), total.alias("total"))
+
+        def of_hashes(hashes: Column) -> Column:
+            pairs = F.aggregate(pairs_of(hashes, pair_buckets), F.lit(0.0), lambda held, bucket: held + pair_ratios[bucket])
+            base = F.struct(*(measure.alias(name) for name, measure in base_measures(text, listed, hashes).items()))
+            return F.struct(base.alias("base"), pairs.alias("pairs"))
+
+        return F.struct(let(hashes, of_hashes).alias("hashed"), total.alias("total"))
 
     def columns(made: Column) -> dict[str, Column]:
-        base = {name: made["base"][name] for name in MEASURES}
+        base = {name: made["hashed"]["base"][name] for name in MEASURES}
         n, repeated = base["n_words"], base["n_repeat_words"]
         failed = (n < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
-        score = F.when(n > 0, made["total"] / (2 * n)).otherwise(F.lit(0.0))
+        single = made["total"] / (2 * n)
+        score = F.when(n > 1, F.least(single, made["hashed"]["pairs"] / (n - 1)))
+        score = score.when(n == 1, single).otherwise(F.lit(0.0))
         return base | {"base_failed": failed, "score": score, "kept": ~failed & (score >= threshold)}
 
     return let(words(text), measured), columns
@@ -159,8 +210,8 @@ def quality_scores(
 ) -> DataFrame:
     """``doc_id``, the base measures, ``base_failed``, ``score`` and ``kept`` of every document.
 
-    The score is the mean log-likelihood ratio of the n-grams of the words. A NULL text has no
-    words, and texts without words score 0. Documents that fail the base rules are not kept, the
+    The score is the lower mean log-likelihood ratio, of words with their endings or of pairs of
+    neighbouring words; one word alone has no pair. A NULL text has no words, and texts without words score 0. Documents that fail the base rules are not kept, the
     others are kept from a score of ``threshold`` on. Equal texts get equal scores; rows with equal
     or NULL keys are kept apart. Other columns are not read; an empty table gives an empty result.
     """
