@@ -46,5 +46,5 @@ def test_columns(spark, name):
 
 
 def test_all_are_registered():
-    assert {int(name[2:].split("_")[0]) for name in REGISTRY} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in REGISTRY} == set(range(1, 14))
     assert {*REGISTRY, "pipeline"} <= set(queries())

@@ -36,6 +36,24 @@ def count_of(rows: int, per_part: int) -> int:
     return max(1, -(-rows // per_part))
 
 
+# Rows of a key that one task of a join may meet: this many, or a ten-thousandth of all.
+HOT_ROWS, HOT_KEYS = 1_000, 10_000
+
+
+def looked_up(rows: DataFrame, values: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` with the columns of ``values``, whose keys are unique; NULL where there is none.
+
+    Keys of very many rows, HOT_KEYS of them at most, are broadcast with their values; all others
+    are an equi-join. Both tables are read twice, so they should be kept ones.
+    """
+    total = rows.count()
+    counts = rows.groupBy(*on).agg(F.count("*").alias("_rows"))
+    hot = kept(counts.filter(F.col("_rows") > max(HOT_ROWS, total // HOT_KEYS)).select(*on), "hot")
+    hot = F.broadcast(hot)
+    frequent = rows.join(hot, on, "left_semi").join(F.broadcast(values.join(hot, on, "left_semi")), on, "left")
+    return frequent.unionByName(rows.join(hot, on, "left_anti").join(values.join(hot, on, "left_anti"), on, "left"))
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per application."""
     context = spark.sparkContext

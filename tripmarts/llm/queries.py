@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmarts.llm import chat, mixing, mtree, packing, quality, simhash, toxicity, warc, wavelet, wrappers
+from tripmarts.llm import (
+    chat, mixing, mtree, packing, phrases, quality, simhash, suffixes, toxicity, tries, warc, wavelet, wrappers,
+)
 from tripmarts.llm.common import kept, ship, table
 from tripmarts.runtime import work_path
 
@@ -99,3 +101,19 @@ def op10_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
     warc.write_archives(table(spark, folder, "pages"), path)
     read = warc.archive_index(warc.read_archives(spark, path))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return tries.prefix_trie(table(spark, folder, "conversations"))
+
+
+@query
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+@query
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    index = kept(suffixes.build_index(table(spark, folder, "documents")), "suffixes")
+    return suffixes.contamination(suffixes.find_matches(index, table(spark, folder, "benchmark")))
