@@ -8,6 +8,7 @@ is the toxic one: first from sampled windows of all texts, then from the windows
 
 from __future__ import annotations
 
+import io
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -17,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmarts.llm.common import kept
+
 WINDOW, STRIDE = 32, 16
 HIDDEN = 8
 WORD_ROWS, WORD_DIM = 1 << 15, 6
@@ -32,6 +35,10 @@ ROUNDS = 7
 # Steps of a round at least.
 STEPS = 40
 SEED = 7
+# Share of each word's n-grams that every other batch goes without.
+GRAM_DROPOUT = 0.8
+# Words whose features are made together.
+SLICE = 20_000
 # Distinct words a worker remembers before it starts anew.
 REMEMBERED = 200_000
 _EDGE = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()) + "«»„“”‘’…–—"
@@ -66,6 +73,15 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return own, np.concatenate(rows)[order], np.searchsorted(owners, np.arange(len(words) + 1))
 
 
+def features_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``word_features`` of many words, made for some at a time."""
+    parts = [word_features(words[n : n + SLICE]) for n in range(0, len(words), SLICE)]
+    ends = np.cumsum([0] + [part[2][-1] for part in parts])
+    starts = [part[2][:-1] + end for part, end in zip(parts, ends, strict=False)]
+    rows = np.concatenate([part[1].astype(np.int32) for part in parts])
+    return np.concatenate([part[0] for part in parts]), rows, np.concatenate([*starts, ends[-1:]])
+
+
 def gram_means(table: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Mean of the table rows of each word; every word has at least one n-gram."""
     sums = np.add.reduceat(table[rows], starts[:-1], axis=0)
@@ -152,10 +168,13 @@ def _back(gates_grad, trace, states_grad, recurrent, mask):
     return grad_u
 
 
-def gradients(model, features, index, mask, labels, weights):
-    """Loss gradients of a batch of windows; index (T, B) points into ``features``' words."""
+def gradients(model, features, index, mask, labels, weights, heard=1.0):
+    """Loss gradients of a batch of windows; index (T, B) points into ``features``' words.
+
+    ``heard`` scales the words' own embeddings, so that n-grams learn to do without them.
+    """
     own, rows, starts = features
-    vectors = np.concatenate([model["words"][own], gram_means(model["grams"], rows, starts)], axis=1)
+    vectors = np.concatenate([model["words"][own] * heard, gram_means(model["grams"], rows, starts)], axis=1)
     inputs = vectors[index]
     gates = {side: inputs @ model[f"w{side}"] + model[f"c{side}"] for side in "fb"}
     traces = {"keep": True}
@@ -179,7 +198,7 @@ def gradients(model, features, index, mask, labels, weights):
     inputs_grad *= mask[:, :, None]
     per_word = _summed(len(vectors), index.ravel(), inputs_grad.reshape(-1, vectors.shape[1]))
     counts = np.diff(starts)
-    grads["words"] = _summed(WORD_ROWS, own, per_word[:, :WORD_DIM])
+    grads["words"] = _summed(WORD_ROWS, own, per_word[:, :WORD_DIM] * heard)
     grads["grams"] = _summed(GRAM_ROWS, rows, np.repeat(per_word[:, WORD_DIM:] / counts[:, None], counts, axis=0))
     return grads
 
@@ -212,7 +231,7 @@ def train(texts: Iterable[list[list[str]]], labels: list[int], seed: int = SEED,
     codes = [[np.array([vocabulary.setdefault(w, len(vocabulary)) for w in win], np.int64) for win in text] for text in texts]
     if not vocabulary:
         return model
-    own, rows, starts = word_features(list(vocabulary))
+    own, rows, starts = features_of(list(vocabulary))
     learnt = {name: _met(codes, at, bounds, size) for name, at, bounds, size in (
         ("words", own, np.arange(len(own) + 1), WORD_ROWS), ("grams", rows, starts, GRAM_ROWS),
     )}
@@ -245,7 +264,11 @@ def train(texts: Iterable[list[list[str]]], labels: list[int], seed: int = SEED,
                 counts = np.diff(starts)[used]
                 offsets = np.concatenate([[0], np.cumsum(counts)])
                 at = np.repeat(starts[used] - offsets[:-1], counts) + np.arange(offsets[-1])
-                grads = gradients(model, (own[used], rows[at], offsets), local.reshape(index.shape), mask, truth[batch], weight[batch])
+                part, heard = (own[used], rows[at], offsets), 1.0
+                if step % 2:
+                    # Every other batch goes without most words and n-grams, so that known stems count in unseen words.
+                    part, heard = (own[used], *_some_grams(draw, rows[at], offsets)), np.float32(0)
+                grads = gradients(model, part, local.reshape(index.shape), mask, truth[batch], weight[batch], heard)
                 step += 1
                 for name, mask in learnt.items():
                     grads[name] *= mask
@@ -257,6 +280,15 @@ def train(texts: Iterable[list[list[str]]], labels: list[int], seed: int = SEED,
     return model
 
 
+def _some_grams(draw, rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Some of each word's n-grams, one at least: a few known ones must do in an unseen word."""
+    order = draw.random(len(rows))
+    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    best = np.minimum.reduceat(order, starts[:-1])
+    keep = (order >= GRAM_DROPOUT) | (order == best[owner])
+    return rows[keep], np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=len(starts) - 1))])
+
+
 def _met(codes: list[list[np.ndarray]], rows: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """1 for the table rows that words of ``MIN_TEXTS`` texts or more use, as a column."""
     count = np.zeros(size, np.int64)
@@ -386,11 +418,33 @@ def fit(
     chosen = [marks.filter(F.col("toxic") == label).orderBy(order, "doc_id").limit(rows) for label in (0, 1)]
     chosen = F.broadcast(chosen[0].union(chosen[1]))
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sample = training_windows(texts.join(chosen, "doc_id"), windows).toArrow()
-    order = sample.append_column("place", pa.array([zlib.crc32(str(x).encode()) for x in sample["doc_id"].to_pylist()], pa.int64()))
-    sample = order.sort_by([("place", "ascending"), ("doc_id", "ascending")])
-    # One text at a time becomes Python strings; the rest stays in Arrow's buffers.
-    return train((one.as_py() for one in sample["windows"]), sample["toxic"].to_pylist(), seed)
+    sample = training_windows(texts.join(chosen, "doc_id"), windows)
+    # The sample is bounded, so one task can learn from it; the driver only meets the model.
+    learnt = kept(sample.repartition(1).mapInArrow(_learn(seed), "model binary"), "model").first()
+    if learnt is None:
+        return new_model(seed)
+    with np.load(io.BytesIO(learnt.model)) as held:
+        return {name: held[name] for name in held.files}
+
+
+def _learn(seed: int):
+    """The model of ``doc_id, toxic, windows`` rows, as the bytes of an archive of arrays."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        sample = pa.Table.from_batches(held)
+        places = [zlib.crc32(str(x).encode()) for x in sample["doc_id"].to_pylist()]
+        sample = sample.append_column("place", pa.array(places, pa.int64()))
+        sample = sample.sort_by([("place", "ascending"), ("doc_id", "ascending"), ("toxic", "ascending")])
+        # One text at a time becomes Python strings; the rest stays in Arrow's buffers.
+        model = train((one.as_py() for one in sample["windows"]), sample["toxic"].to_pylist(), seed)
+        out = io.BytesIO()
+        np.savez(out, **model)
+        yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["model"])
+
+    return learn
 
 
 def held_out(doc_id):

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripmarts.llm.common import kept
+
 MAGIC = b"WVMX1\n"
 # Bits between two entries of a plane's rank directory.
 BLOCK_BITS = 512
@@ -358,15 +360,29 @@ def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files below ``folder``."""
     files = spark.read.format("binaryFile").load(folder).select("content")
-    rows = files.mapInArrow(_read_documents, SHARD_DDL)
+    rows = kept(files.mapInArrow(_read_documents, SHARD_DDL), "tokens")
     shards = rows.groupBy("part", "number").agg(F.sum("n_tokens").alias("held"))
-    # Sums over the parts first, then inside each part: no task sees every shard.
-    parts = shards.groupBy("part").agg(F.sum("held").alias("held"))
+    parts = shards.groupBy(F.col("part").alias("place")).agg(F.sum("held").alias("held"))
     inner = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    outer = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    first = parts.select("part", F.coalesce(F.sum("held").over(outer), F.lit(0)).alias("first"))
+    first = _begins(parts, 3).withColumnRenamed("place", "part")
     begins = shards.withColumn("inside", F.coalesce(F.sum("held").over(inner), F.lit(0))).join(first, "part")
     begins = begins.select("part", "number", (F.col("first") + F.col("inside")).alias("shard_start"))
     rows = rows.join(begins, ["part", "number"])
     start = (F.col("shard_start") + F.col("local_start")).cast("long")
     return rows.select("doc_id", start.alias("start"), "n_tokens", "ids_crc32")
+
+
+def _begins(sums: DataFrame, levels: int) -> DataFrame:
+    """``place, first``: the sum of ``held`` over all smaller places, by groups of a thousand and groups of groups.
+
+    One task sees a thousand rows, and after all levels a thousandth of a thousandth of them.
+    """
+    if not levels:
+        before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+        return sums.select("place", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("first"))
+    group = F.floor(F.col("place") / 1000)
+    above = sums.groupBy(group.alias("place")).agg(F.sum("held").alias("held"))
+    before = Window.partitionBy("group").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    inside = sums.withColumn("group", group).withColumn("inside", F.coalesce(F.sum("held").over(before), F.lit(0)))
+    joined = inside.join(_begins(above, levels - 1).withColumnRenamed("place", "group"), "group")
+    return joined.select("place", (F.col("first") + F.col("inside")).alias("first"))
