@@ -3,7 +3,7 @@
 Words are counted first, then pairs of frequent words in a hashed table of fixed size. A place of a
 text whose leading pair can be frequent becomes a suffix pointer: its words up to the first pair
 that cannot be frequent, five at most. Pointers are routed by language and leading pair; each
-route's pointers are partitioned three ways by one word after the other, and the weight of an
+slot's pointers are partitioned three ways by one word after the other, and the weight of an
 equal partition is the count of its phrase. Lighter partitions than a candidate needs are left.
 """
 
@@ -28,8 +28,8 @@ FEWEST_BITS, MOST_BITS = 16, 30
 RANGES = 64
 # Distinct words or pairs that a task gathers before it passes them on.
 GATHERED = 1 << 20
-# Weight of the pointers of one task, about.
-TASK_WEIGHT = 1 << 19
+# Weight of the pointers of one task, about, and slots that they are sorted in.
+TASK_WEIGHT, SLOTS = 1 << 19, 4
 # A pair of more than this share of all pointers is dealt out to several tasks.
 HOT_SHARE = 512
 
@@ -201,10 +201,12 @@ def pair_table(rows: DataFrame, words, width: int, least: int) -> DataFrame:
     return partial.repartition(RANGES, "range").sortWithinPartitions("range").mapInArrow(total, "at long, f long")
 
 
-def pointers(rows: DataFrame, words, pairs, hot: dict[int, int], width: int) -> DataFrame:
-    """``lang, route, part, dealt, words, f``: equal suffix pointers of a task as one, routed by leading pair.
+def pointers(rows: DataFrame, words, pairs, hot: dict[int, int], width: int, slots: int) -> DataFrame:
+    """``slot, lang, words, codes, dealt, f``: suffix pointers by the slot that their leading pair falls into.
 
-    ``words`` and ``pairs`` are broadcast bitmaps. ``hot`` tells into how many parts a counter's pointers are dealt, by all their words.
+    Equal pointers of a task are one with their number in ``f``, and those of a slot are one row:
+    their words, and five places in them for each pointer, 0 for none. ``words`` and ``pairs`` are
+    broadcast bitmaps. ``hot`` tells into how many parts a counter's pointers are dealt, by all their words.
     """
 
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,14 +228,20 @@ def pointers(rows: DataFrame, words, pairs, hot: dict[int, int], width: int) ->
                 mixed = _pair_hash(mixed, hashes[rows[:, n]])
             dealt = np.array([hot.get(x, 1) for x in at.tolist()], np.uint64)
             part = (mixed % dealt).astype(np.int64)
-            kept_words, names = rows > 0, list(codes)
-            used, local = np.unique(rows[kept_words], return_inverse=True)
-            listed = pa.array([names[n].decode() for n in used.tolist()], pa.string())
-            offsets = np.concatenate([[0], np.cumsum(kept_words.sum(axis=1))]).astype(np.int32)
-            return pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(rows), pa.string()), pa.array(at), pa.array(part), pa.array(dealt > 1),
-                pa.ListArray.from_arrays(pa.array(offsets), listed.take(pa.array(local))), pa.array(counts),
-            ], ["lang", "route", "part", "dealt", "words", "f"])
+            slot = (_pair_hash(at.astype(np.uint64), part.astype(np.uint64)) % np.uint64(slots)).astype(np.int64)
+            order = np.argsort(slot, kind="stable")
+            slot, rows, counts, dealt = slot[order], rows[order], counts[order], dealt[order] > 1
+            first = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
+            names, made = list(codes), {name: [] for name in _POINTERS.names}
+            for a, b in zip(first, [*first[1:], len(slot)], strict=True):
+                used, local = np.unique(rows[a:b], return_inverse=True)
+                listed = [names[n].decode() for n in used.tolist() if n]
+                local = local.reshape(-1, DEPTH) + (used[0] > 0)
+                for name, value in zip(_POINTERS.names, (
+                    int(slot[a]), lang, listed, local.astype("<i4").tobytes(), dealt[a:b].tobytes(), counts[a:b].astype("<i8").tobytes()
+                ), strict=True):
+                    made[name].append(value)
+            return pa.RecordBatch.from_pydict(made, _POINTERS)
 
         for lang, codes, coded in _coded(batches):
             if lang in held and held[lang][0] is not codes:
@@ -263,7 +271,15 @@ def pointers(rows: DataFrame, words, pairs, hot: dict[int, int], width: int) ->
         for lang in list(held):
             yield batch(lang)
 
-    return rows.mapInArrow(point, "lang string, route long, part long, dealt boolean, words array<string>, f long")
+    return rows.mapInArrow(
+        point, "slot long, lang string, words array<string>, codes binary, dealt binary, f binary"
+    )
+
+
+_POINTERS = pa.schema([
+    ("slot", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.string())), ("codes", pa.binary()),
+    ("dealt", pa.binary()), ("f", pa.binary()),
+])
 
 
 def quicksort_counts(rows: np.ndarray, weights: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, int]]:
@@ -293,68 +309,48 @@ def quicksort_counts(rows: np.ndarray, weights: np.ndarray, least: int) -> Itera
 
 
 def phrase_counts(routed: DataFrame, least: int) -> DataFrame:
-    """``lang, words, f``: phrases of two words and more with their counts, from pointers sorted by route."""
+    """``lang, words, f``: phrases of two words and more with their counts, from rows of ``pointers`` sorted by slot."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = [], None
+        now, held = None, []
 
         def batch():
-            table = pa.Table.from_batches(held).combine_chunks()
-            if not len(table):
-                return
-            lists = table["words"].combine_chunks()
-            lists = lists if isinstance(lists, pa.ListArray) else lists.chunk(0)
-            coded = lists.flatten().dictionary_encode()
-            lengths = lists.value_lengths().to_numpy()
-            rows = np.zeros((len(table), DEPTH + 1), np.int64)
-            owner = np.repeat(np.arange(len(table)), lengths)
-            place = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            # Routes are kept apart by their number in front.
-            langs = table["lang"].combine_chunks().dictionary_encode()
-            langs = langs.chunk(0) if isinstance(langs, pa.ChunkedArray) else langs
-            dealt = table["dealt"].to_numpy(zero_copy_only=False)
-            rows[:, 0] = 1 + 2 * langs.indices.to_numpy() + dealt
-            rows[owner, place + 1] = coded.indices.to_numpy() + 1
-            weights = table["f"].to_numpy()
-            found, words, counts = [], [], []
+            index, langs, parts = {}, {}, []
+            for lang, words, codes, dealt, _ in held:
+                lookup = np.array([0, *(index.setdefault(word, len(index) + 1) for word in words)], np.int64)
+                codes = lookup[np.frombuffer(codes, "<i4").reshape(-1, DEPTH)]
+                # Languages, and pointers that are dealt out, are kept apart by a number in front.
+                front = 1 + 2 * langs.setdefault(lang, len(langs)) + np.frombuffer(dealt, bool)
+                parts.append(np.column_stack([front, codes]))
+            rows = np.concatenate(parts)
+            weights = np.concatenate([np.frombuffer(f, "<i8") for *_, f in held])
+            named, words = list(langs), list(index)
+            made = {"lang": [], "words": [], "f": []}
             # The parts of a pair that was dealt out are sums of their own: only their totals tell.
-            for some, wanted in ((~dealt, least), (dealt, 1)):
-                some = np.flatnonzero(some)
-                if not len(some):
+            for some, wanted in ((rows[:, 0] % 2 == 1, least), (rows[:, 0] % 2 == 0, 1)):
+                if not some.any():
                     continue
                 for codes, weight in quicksort_counts(rows[some], weights[some], wanted):
                     if len(codes) > 2:
-                        found.append((codes[0] - 1) // 2)
-                        words.append(codes[1:] - 1)
-                        counts.append(weight)
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in words])]).astype(np.int32)
-            flat = np.concatenate(words) if words else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([
-                langs.dictionary.take(pa.array(found, pa.int64())),
-                pa.ListArray.from_arrays(pa.array(offsets), coded.dictionary.take(pa.array(flat))), pa.array(counts, pa.int64()),
-            ], ["lang", "words", "f"])
+                        made["lang"].append(named[(codes[0] - 1) // 2])
+                        made["words"].append([words[n - 1] for n in codes[1:]])
+                        made["f"].append(weight)
+            return pa.RecordBatch.from_pydict(made, _PHRASE)
 
-        size = 0
         for part in batches:
-            # A batch is cut where the last route begins, so that routes stay whole.
-            routes = part.column(0).to_numpy()
-            if held and size >= TASK_WEIGHT // 2 and len(routes):
-                border = int(np.searchsorted(routes, now, side="right"))
-                held.append(part.slice(0, border).select(_SORTED))
-                if border < len(routes):
-                    yield from batch()
-                    held, size = [], 0
-                part = part.slice(border)
-            if part.num_rows:
-                held.append(part.select(_SORTED))
-                size, now = size + part.num_rows, int(routes[-1])
+            for slot, *row in zip(*(column.to_pylist() for column in part.columns), strict=True):
+                if slot != now and held:
+                    yield batch()
+                    held.clear()
+                now = slot
+                held.append(row)
         if held:
-            yield from batch()
+            yield batch()
 
     return routed.mapInArrow(sort, "lang string, words array<string>, f long")
 
 
-_SORTED = ["lang", "dealt", "words", "f"]
+_PHRASE = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.string())), ("f", pa.int64())])
 
 
 def frequent_phrases(rows: DataFrame, counts: DataFrame, least: int) -> DataFrame:
@@ -373,9 +369,9 @@ def frequent_phrases(rows: DataFrame, counts: DataFrame, least: int) -> DataFram
     limit = max(least, weight // HOT_SHARE)
     # Fewer than HOT_SHARE counters hold more than that share of the pointers.
     hot = {row["at"]: -(-row.f // limit) for row in table.filter(F.col("f") > limit).collect()}
-    made = pointers(rows, words, _bitmap(table, width), hot, width)
-    order = F.xxhash64("lang", "route", "part").alias("order")
-    routed = made.select(order, *_SORTED).repartition(count_of(weight, TASK_WEIGHT), "order").sortWithinPartitions("order")
+    parts = count_of(weight, TASK_WEIGHT)
+    made = pointers(rows, words, _bitmap(table, width), hot, width, SLOTS * parts)
+    routed = made.repartition(parts, "slot").sortWithinPartitions("slot")
     found = phrase_counts(routed, least).groupBy("lang", "words").agg(F.sum("f").alias("f"))
     return found.filter(F.col("f") >= least)
 
