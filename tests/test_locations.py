@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import math
+
 import pytest
 
+from pyspark.sql import functions as F
+from tripmarts.functions import money
 from tripmarts.operators import locations, ranking
 
 TRIPS = """PULocationID BIGINT, fare_amount DOUBLE, total_revenue DOUBLE, trip_distance DOUBLE,
@@ -75,3 +79,20 @@ def test_labels(spark, trips):
     ]
     chart = locations.revenue_vs_volume(stats, 1).first()
     assert (chart["rank"], chart.trips_thousands, chart.revenue_millions) == (1, 0.003, 17.0 / 1e6)
+
+
+def test_amounts_without_a_limit(spark):
+    values = [10.0, 20.0, 2e14, 0.12345, 1e19, 0.1 + 0.2, 5e-324]
+    df = spark.createDataFrame([(1, v) for v in values] + [(1, None), (2, 1.0), (2, float("nan")), (3, float("inf")), (3, 2.0), (4, None)], "k INT, v DOUBLE")
+    both = df.groupBy("k").agg(
+        money.amount_sum("v").alias("s"), money.amount_mean("v").alias("m"), F.sum("v").alias("plain"), F.avg("v").alias("avg")
+    )
+    found = {r.k: r for r in both.collect()}
+    assert found[1].s == pytest.approx(found[1].plain, rel=1e-12) and found[1].m == pytest.approx(found[1].avg, rel=1e-12)
+    assert math.isnan(found[2].m) and found[3].m == float("inf") and found[4].m is None and found[4].s is None
+
+
+def test_small_amounts_are_exact_in_any_order(spark):
+    df = spark.range(20_000).selectExpr("1 AS k", "id * 0.1 + 0.00001 AS v")
+    sums = {df.repartition(n).groupBy("k").agg(money.amount_sum("v").alias("s")).first().s for n in (1, 3, 8)}
+    assert sums == {19999000.2}

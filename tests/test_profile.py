@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import decimal
 import math
 
 import pytest
@@ -82,3 +83,24 @@ def test_info(table):
     info = profile.dataset_info(table).first()
     assert (info.row_count, info.column_count, info.columns) == (3, 5, ["a", "b", "c", "s", "d"])
     assert '"name":"a"' in info.schema_json
+
+
+def test_exact_quantiles_in_the_columns_type(spark, monkeypatch):
+    monkeypatch.setattr(profile, "RANGE_ROWS", 7)
+    big = 2**60
+    rows = [(big + n % 1000, decimal.Decimal(n) / 1000, float(n % 300), None) for n in range(4000)]
+    rows += [(None, None, float("nan"), None)] * 50 + [(None, None, float("inf"), None)] * 50
+    df = spark.createDataFrame(rows, "a BIGINT, d DECIMAL(12,3), x DOUBLE, e INT").repartition(5)
+    fractions = [0.0, 0.25, 0.5, 0.99, 1.0]
+    found = profile.exact_quantiles(df, df.columns, fractions, 64)
+
+    def expected(values):
+        values = sorted(values)
+        return [values[max(1, math.ceil(len(values) * f)) - 1] for f in fractions]
+
+    assert found["a"] == expected([r[0] for r in rows if r[0]])
+    assert found["d"] == expected([r[1] for r in rows if r[1] is not None])
+    known = expected([(math.isnan(r[2]), r[2]) for r in rows])
+    assert [str(x) for x in found["x"]] == [str(x) for _, x in known]
+    assert found["x"][3] == float("inf") and math.isnan(found["x"][4])
+    assert found["e"] == [None] * 5

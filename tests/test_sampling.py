@@ -38,3 +38,13 @@ def test_random_sample(rows):
 def test_bad_fraction(rows):
     with pytest.raises(ValueError):
         sampling.hash_sample(rows, ["trip_id"], 1.5)
+
+
+def test_fixed_sample_is_nested_and_does_not_depend_on_partitions(rows):
+    first = {r.trip_id for r in sampling.fixed_sample(rows, ["trip_id"], 500).collect()}
+    second = {r.trip_id for r in sampling.fixed_sample(rows.repartition(3), ["trip_id"], 900).collect()}
+    assert len(first) == 500 and len(second) == 900 and first < second
+    assert sampling.fixed_sample(rows, ["trip_id"], 0).count() == 0
+    assert sampling.fixed_sample(rows.limit(7), ["trip_id"], 10).count() == 7
+    with pytest.raises(ValueError):
+        sampling.fixed_sample(rows, ["trip_id"], -1)

@@ -5,6 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from tripmarts import runtime
 from tripmarts.sources import messages, tables
 
@@ -174,3 +176,31 @@ def test_cut_lineage(spark):
     df = runtime.cut_lineage(spark.range(10).selectExpr("id % 3 AS k").groupBy("k").count())
     assert df.count() == 3
     assert "HashAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_drifted_files_by_name_with_widened_types(spark, tmp_path):
+    spark.createDataFrame([(1, 2, "a")], "id INT, fee INT, name STRING").write.parquet(f"{tmp_path}/t/a")
+    spark.createDataFrame([(2**40, 2.5)], "id BIGINT, fee DOUBLE").write.parquet(f"{tmp_path}/t/b")
+    spark.createDataFrame([("x", 3, 4)], "name STRING, extra INT, id INT").write.parquet(f"{tmp_path}/t/c")
+    df = tables.read_drifted(spark, f"{tmp_path}/t")
+    assert dict(df.dtypes) == {"id": "bigint", "fee": "double", "name": "string", "extra": "int"}
+    rows = sorted((r.id, r.fee, r.name, r.extra) for r in df.collect())
+    assert rows == [(1, 2.0, "a", None), (4, None, "x", 3), (2**40, 2.5, None, None)]
+    assert [r.id for r in df.filter("fee > 2").collect()] == [2**40]
+    with pytest.raises(FileNotFoundError):
+        tables.read_drifted(spark, f"{tmp_path}/nothing")
+
+
+def test_widest_types():
+    assert tables.widest([T.IntegerType(), T.ShortType()]) == T.LongType()
+    assert tables.widest([T.DecimalType(10, 2), T.IntegerType()]) == T.DecimalType(22, 2)
+    assert tables.widest([T.DateType(), T.TimestampNTZType()]) == T.TimestampNTZType()
+    assert tables.widest([T.DateType(), T.LongType()]) == T.StringType()
+
+
+def test_rows_behind_each_file(spark, tmp_path):
+    spark.range(10).repartition(2).write.parquet(f"{tmp_path}/a.parquet")
+    found = tables.audit_rows(spark, str(tmp_path), ["a.parquet", "b.parquet"]).collect()
+    held = [r for r in found if r.table == "a.parquet"]
+    assert len(held) == 2 and sum(r.n_rows for r in held) == 10 and all(r.bytes > 0 and r.is_present for r in held)
+    assert [(r.file, r.n_rows, r.bytes, r.is_present) for r in found if r.table == "b.parquet"] == [(None, 0, 0, False)]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmarts.functions.features import calendar_columns, duration_minutes, flag, per_minute
-from tripmarts.operators.profile import SKETCH_SIZE, quantile
+from tripmarts.operators.profile import SKETCH_SIZE, exact_quantiles, quantile
 from tripmarts.schemas import DROPOFF, HIGH_VALUE_QUANTILE, PICKUP
 
 
@@ -45,17 +45,21 @@ def add_high_value_flag(
 ) -> DataFrame:
     """``is_high_value``: 1 for rows at or above the table's own quantile of ``amount``.
 
-    The threshold is a scalar subquery: it reads only the columns it needs and
-    never passes through the driver program. It is exact, by two scans, or a sketch's. No amounts at all means no 1s.
+    The threshold is exact and found at once (``exact_quantiles``), or a sketch's in a scalar
+    subquery. Both read only the columns they need. No amounts at all means no 1s.
     """
-    threshold = quantile(df, amount, fraction, size, exact).scalar()
+    if exact:
+        (value,) = exact_quantiles(df.select(amount), [amount], [fraction], size)[amount]
+        threshold = F.lit(value).cast(df.schema[amount].dataType)
+    else:
+        threshold = quantile(df, amount, fraction, size).scalar()
     return df.withColumn("is_high_value", flag(F.col(amount) >= threshold))
 
 
-def add_trip_features(df: DataFrame) -> DataFrame:
-    """All time and revenue columns."""
+def add_trip_features(df: DataFrame, high_value: bool = True) -> DataFrame:
+    """All time and revenue columns; without ``high_value`` not the flag, whose threshold takes scans of its own."""
     df = add_revenue(add_time_features(df))
-    return add_high_value_flag(df) if "total_revenue" in df.columns else df
+    return add_high_value_flag(df) if high_value and "total_revenue" in df.columns else df
 
 
 def add_location_vector(

@@ -21,14 +21,15 @@ def add_profit_score(stats: DataFrame) -> DataFrame:
 
 
 def location_stats(trips: DataFrame, location: str = LOCATION) -> DataFrame:
-    """Per location: trips, mean fare, revenue, mean distance and duration, high-value trips."""
+    """Per location: trips, mean fare, revenue, mean distance and duration, and high-value trips if they are flagged."""
+    flagged = [F.sum("is_high_value").alias("high_value_trips")] if "is_high_value" in trips.columns else []
     stats = trips.groupBy(location).agg(
         F.count("*").alias("trip_count"),
         amount_mean("fare_amount").alias("avg_fare"),
         amount_sum("total_revenue").alias("total_revenue"),
         F.avg("trip_distance").alias("avg_distance"),
         F.avg("trip_duration_minutes").alias("avg_duration"),
-        F.sum("is_high_value").alias("high_value_trips"),
+        *flagged,
     )
     return add_profit_score(stats)
 

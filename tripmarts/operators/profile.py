@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmarts.operators.cleaning import percent
+from tripmarts.runtime import cut_lineage
 
 # Sketch size: some 80 kB, with a rank error within RANK_ERROR.
 SKETCH_SIZE = 4096
 RANK_ERROR = 0.005
 # Sketches merged in one step, so that the tree grows with the number of input splits.
 FAN_IN = 64
+# Distinct values of a range that one task puts in order.
+RANGE_ROWS = 500_000
 
 
 def _sketch(name: str, size: int) -> Column:
@@ -40,12 +46,8 @@ def _in_steps(df: DataFrame, partial: list[Column], merged: list[Column]) -> Dat
     return rows.agg(*merged)
 
 
-def _exact(df: DataFrame, columns: dict[int, str], fractions: Sequence[float], size: int) -> DataFrame:
-    """``column, quantiles``: exact discrete quantiles of columns, by number.
-
-    A second scan counts what lies below the bracket that the sketch gives, and the values inside
-    it. Only the bracket's distinct values, a share of some 2 * RANK_ERROR, are sorted.
-    """
+def _brackets(df: DataFrame, columns: dict[int, str], fractions: Sequence[float], size: int) -> list[tuple]:
+    """``column, which, rank, low, high``: for each quantile its rank and the doubles that enclose it, from sketches."""
     wide = [bound for f in fractions for bound in (max(0.0, f - RANK_ERROR), min(1.0, f + RANK_ERROR))]
     sketches = _in_steps(
         df,
@@ -53,44 +55,90 @@ def _exact(df: DataFrame, columns: dict[int, str], fractions: Sequence[float], s
         [F.kll_merge_agg_double(f"s{i}", F.lit(size)).alias(f"s{i}") for i in columns],
     )
     wanted = F.array(*map(F.lit, wide))
-    bounds = sketches.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(i).alias("column"),
-            F.kll_sketch_get_n_double(f"s{i}").alias("n"),
-            F.when(F.kll_sketch_get_n_double(f"s{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", wanted)).alias("at"),
-        ) for i in columns
-    ])))
-    brackets = bounds.select("column", "n", F.inline(F.array(*[
-        F.struct(F.lit(j).alias("which"), F.lit(float(f)).alias("fraction"), F.get("at", F.lit(2 * j)).alias("low"),
-                 F.get("at", F.lit(2 * j + 1)).alias("high"))
-        for j, f in enumerate(fractions)
-    ])))
-    values = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("column"), F.nanvl(F.col(name).cast("double"), F.lit(float("inf"))).alias("value"))
-        for i, name in columns.items()
-    ]))).filter("value IS NOT NULL")
-    # As many brackets as there are columns and fractions.
-    near = values.join(F.broadcast(brackets), "column").filter("value <= high")
-    inside = F.when(F.col("value") >= F.col("low"), F.col("value"))
-    counts = near.groupBy("column", "which", "n", "fraction", inside.alias("value")).agg(F.count("*").alias("rows"))
-    order = Window.partitionBy("column", "which").orderBy(F.col("value").asc_nulls_first())
-    reached = counts.withColumn("upto", F.sum("rows").over(order))
-    found = reached.filter((F.col("upto") >= F.greatest(F.ceil(F.col("n") * F.col("fraction")), F.lit(1))) & F.col("value").isNotNull())
-    best = found.groupBy("column", "which").agg(F.min("value").alias("value"))
-    listed = best.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("which", "value"))).alias("held"))
-    value = [F.try_element_at("held", F.lit(j)) for j in range(len(fractions))]
-    value = [F.when(x == float("inf"), float("nan")).otherwise(x) for x in value]
-    return listed.select("column", F.array(*value).alias("quantiles"))
+    count = {i: F.kll_sketch_get_n_double(f"s{i}") for i in columns}
+    row = sketches.select(*[
+        F.struct(count[i].alias("n"), F.when(count[i] > 0, F.kll_sketch_get_quantile_double(f"s{i}", wanted)).alias("at")).alias(f"b{i}")
+        for i in columns
+    ]).first()
+    return [
+        (i, j, max(1, math.ceil(row[f"b{i}"].n * f)), row[f"b{i}"]["at"][2 * j], row[f"b{i}"]["at"][2 * j + 1])
+        for i in columns if row[f"b{i}"]["at"] for j, f in enumerate(fractions)
+    ]
+
+
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], fractions: Sequence[float], size: int = SKETCH_SIZE
+) -> dict[str, list]:
+    """The value at each fraction of numeric columns, in the column's own type; None for a column without values.
+
+    Infinities come before NaN, NULLs do not count. Sketches give brackets of some 2 * RANK_ERROR of
+    the rows; a second scan counts what lies below each, and the values inside are counted and put
+    in order over ranges of values, so no task sorts a whole bracket. One number per quantile and
+    one row per range reach the driver.
+    """
+    numbered = dict(enumerate(columns))
+    kinds = {i: df.schema[name].dataType for i, name in numbered.items()}
+    found: dict[tuple[int, int], object] = {}
+    brackets = _brackets(df, numbered, fractions, size)
+    as_double = {i: F.nanvl(F.col(name).cast("double"), F.lit(float("inf"))) for i, name in numbered.items()}
+    below = [F.count_if(as_double[i] < low).alias(f"n{n}") for n, (i, _, _, low, _) in enumerate(brackets)]
+    # A bracket of one double is solved where its values are doubles, or longs that doubles tell apart.
+    single = [
+        low == high and abs(low) < 2.0**53 and not isinstance(kinds[i], T.DecimalType) for i, _, _, low, high in brackets
+    ]
+    open_ = [n for n, solved in enumerate(single) if not solved]
+    counts = df.agg(*[below[n] for n in open_]).first() if open_ else {}
+    for n, (i, j, _, low, _) in enumerate(brackets):
+        if single[n]:
+            found[i, j] = int(low) if isinstance(kinds[i], T.IntegralType) else low
+    groups: dict[str, list[int]] = {}
+    for n in open_:
+        kind = kinds[brackets[n][0]]
+        name = "bigint" if isinstance(kind, T.IntegralType) else "double" if not isinstance(kind, T.DecimalType) else kind.simpleString()
+        groups.setdefault(name, []).append(n)
+    for kind, members in groups.items():
+        inside = [
+            F.when((as_double[i] >= low) & (as_double[i] <= high), F.struct(F.lit(n).alias("bracket"), F.col(numbered[i]).cast(kind).alias("value")))
+            for n, (i, _, _, low, high) in ((n, brackets[n]) for n in members)
+        ]
+        rows = df.select(F.inline(F.array_compact(F.array(*inside)))).groupBy("bracket", "value").agg(F.count("*").alias("rows"))
+        wanted = {n: brackets[n][2] - counts[f"n{n}"] for n in members}
+        for n, value in _at_ranks(rows, wanted).items():
+            found[brackets[n][:2]] = value
+    return {name: [found.get((i, j)) for j in range(len(fractions))] for i, name in numbered.items()}
+
+
+def _at_ranks(rows: DataFrame, wanted: dict[int, int]) -> dict[int, object]:
+    """The value at a rank of each ``bracket`` of ``bracket, value, rows``: ranges first, then the one range that holds it."""
+    rows = cut_lineage(rows)
+    parts = max(1, -(-rows.count() // RANGE_ROWS))
+    placed = rows.repartitionByRange(parts, "bracket", "value") if parts > 1 else rows.coalesce(1)
+    placed = cut_lineage(placed.withColumn("part", F.spark_partition_id()))
+    sums = placed.groupBy("bracket", "part").agg(F.sum("rows").alias("rows")).orderBy("bracket", "part").collect()
+    at: dict[int, tuple[int, int]] = {}
+    left = dict(wanted)
+    for row in sums:
+        if row.bracket not in at:
+            if left[row.bracket] <= row.rows:
+                at[row.bracket] = row.part, left[row.bracket]
+            left[row.bracket] -= row.rows
+    chosen = [(F.col("bracket") == n) & (F.col("part") == part) for n, (part, _) in at.items()]
+    if not chosen:
+        return {}
+    rank = F.element_at(F.create_map(*[F.lit(x) for n, (_, rank) in at.items() for x in (n, rank)]), F.col("bracket"))
+    order = Window.partitionBy("bracket").orderBy("value")
+    ranked = placed.filter(reduce(or_, chosen)).withColumn("upto", F.sum("rows").over(order)).filter(F.col("upto") >= rank)
+    return {row.bracket: row.value for row in ranked.groupBy("bracket").agg(F.min("value").alias("value")).collect()}
 
 
 def quantile(df: DataFrame, name: str, fraction: float, size: int = SKETCH_SIZE, exact: bool = False) -> DataFrame:
     """One row, one column ``quantile``: the value at that fraction of the column.
 
-    By sketch, or exactly with a second scan.
+    By sketch, as a double, or exactly in the column's own type; the exact one is computed at once.
     """
     if exact:
-        found = _exact(df.select(name), {0: name}, [fraction], size)
-        return found.agg(F.max(F.get("quantiles", F.lit(0))).alias("quantile"))
+        (value,) = exact_quantiles(df.select(name), [name], [fraction], size)[name]
+        return df.sparkSession.range(1).select(F.lit(value).cast(df.schema[name].dataType).alias("quantile"))
     sketch = _in_steps(
         df, [_sketch(name, size).alias("_sketch")], [F.kll_merge_agg_double("_sketch", F.lit(size)).alias("_sketch")]
     )
@@ -124,7 +172,7 @@ def quality_profile(df: DataFrame, size: int = SKETCH_SIZE, exact: bool = False)
     """One row per column: NULLs as in ``null_profile``, and for numeric columns the min,
     max, mean and quartiles (NULL without values), all as doubles.
 
-    One scan for all of it; the quartiles are those of a sketch, or exact with a second scan.
+    One scan for all of it; the quartiles are those of a sketch, or exact (``exact_quantiles``) and computed at once.
     """
     partial = [F.count("*").alias("total")]
     merged = [F.coalesce(F.sum("total"), F.lit(0)).alias("total")]
@@ -142,18 +190,18 @@ def quality_profile(df: DataFrame, size: int = SKETCH_SIZE, exact: bool = False)
                 F.max(value).alias(f"high{i}"),
                 F.sum(value).alias(f"sum{i}"),
                 F.count(value).alias(f"n{i}"),
-                _sketch(name, size).alias(f"sketch{i}"),
+                *([] if exact else [_sketch(name, size).alias(f"sketch{i}")]),
             ]
             merged += [
                 F.min(f"low{i}").alias(f"low{i}"),
                 F.max(f"high{i}").alias(f"high{i}"),
                 F.sum(f"sum{i}").alias(f"sum{i}"),
                 F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}"),
-                F.kll_merge_agg_double(f"sketch{i}", F.lit(size)).alias(f"sketch{i}"),
+                *([] if exact else [F.kll_merge_agg_double(f"sketch{i}", F.lit(size)).alias(f"sketch{i}")]),
             ]
             low, high = F.col(f"low{i}"), F.col(f"high{i}")
             mean = F.when(F.col(f"n{i}") > 0, F.col(f"sum{i}") / F.col(f"n{i}"))
-            quartiles = _quantiles(f"sketch{i}", [0.25, 0.5, 0.75])
+            quartiles = F.lit(None).cast("array<double>") if exact else _quantiles(f"sketch{i}", [0.25, 0.5, 0.75])
         rows.append(F.struct(
             F.lit(name).alias("column_name"),
             F.col(f"missing{i}").alias("null_count"),
@@ -164,11 +212,11 @@ def quality_profile(df: DataFrame, size: int = SKETCH_SIZE, exact: bool = False)
             quartiles.alias("quartiles"),
         ))
     profile = _in_steps(df, partial, merged).select(F.inline(F.array(*rows)))
-    numbers = {i: f.name for i, f in enumerate(df.schema) if isinstance(f.dataType, T.NumericType)}
+    numbers = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     if exact and numbers:
-        named = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
-        found = _exact(df, numbers, [0.25, 0.5, 0.75], size).select(named[F.col("column")].alias("column_name"), "quantiles")
-        profile = profile.join(found, "column_name", "left").withColumn("quartiles", F.col("quantiles")).drop("quantiles")
+        known = exact_quantiles(df.select(*numbers), numbers, [0.25, 0.5, 0.75], size)
+        listed = [x for name, values in known.items() for x in (F.lit(name), F.array(*[F.lit(v).cast("double") for v in values]))]
+        profile = profile.withColumn("quartiles", F.try_element_at(F.create_map(*listed), F.col("column_name")))
     quartiles = {q: F.get("quartiles", F.lit(i)) for i, q in enumerate(["p25", "p50", "p75"])}
     return profile.withColumns(quartiles).drop("quartiles")
 

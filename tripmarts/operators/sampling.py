@@ -18,8 +18,14 @@ from tripmarts.schemas import SEED, TEST_FRACTION
 BUCKETS = 1_000_000
 
 
+def key_hash(keys: Sequence[str], seed: int = SEED) -> Column:
+    """MD5 of ``seed|key|key``, a NULL key as nothing: the same in any engine."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(key).cast("string"), F.lit("")) for key in keys]))
+
+
 def _bucket(keys: Sequence[str], seed: int) -> Column:
-    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(BUCKETS))
+    number = F.conv(F.substring(key_hash(keys, seed), 1, 12), 16, 10).cast("bigint")
+    return number % BUCKETS
 
 
 def _check(fraction: float) -> None:
@@ -47,6 +53,16 @@ def hash_split(
     return df.filter(~test), df.filter(test)
 
 
+def fixed_sample(df: DataFrame, keys: Sequence[str], rows: int, seed: int = SEED) -> DataFrame:
+    """As many rows as asked for, or all: those of the smallest key hashes, equal ones by key.
+
+    Every partition passes on that many rows at most. A larger sample holds a smaller one.
+    """
+    if rows < 0:
+        raise ValueError(f"rows must not be negative, not {rows}")
+    return df.orderBy(key_hash(keys, seed), *keys).limit(rows)
+
+
 def random_sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
     """Seeded Bernoulli sample for rows without a key; depends on the partitioning."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)

@@ -299,6 +299,9 @@ score AS (
     FROM sides
 )"""
 
+# Bucket of a trip's key among a million, as the sampling functions find it.
+BUCKET = "CAST('0x' || substr(md5('42|' || event_id), 1, 12) AS BIGINT) % 1000000"
+
 ORACLES: dict[str, str] = {
     "scan_parquet": "SELECT * FROM events",
     "write_roundtrip": with_ctes([TRIPS], "SELECT * FROM trips"),
@@ -529,7 +532,31 @@ SELECT count(*) AS n_rows, round(sum(distance), 6) AS wssse FROM clustered"""),
 SELECT n_rows, round(s, 6) AS silhouette,
        CASE WHEN s > 0.5 THEN 'excellent' WHEN s > 0.25 THEN 'good' WHEN s > 0 THEN 'weak' ELSE 'poor' END AS band
 FROM score"""),
-    "hash_split": "SELECT event_id AS trip_id FROM events",
+    "hash_split": f"""
+SELECT event_id AS trip_id, CASE WHEN {BUCKET} >= 800000 THEN 'test' ELSE 'train' END AS part FROM events""",
+    "hash_sample": with_ctes([TRIPS], f"SELECT trips.* FROM trips JOIN events ON event_id = trip_id WHERE {BUCKET} < 100000"),
+    "sample_10000": with_ctes([TRIPS], "SELECT * FROM trips ORDER BY md5('42|' || trip_id), trip_id LIMIT 10000"),
+    "scan_drifted": with_ctes([TRIPS], """
+SELECT * EXCLUDE (tpep_dropoff_datetime, tip_amount), CASE WHEN trip_id % 3 <> 1 THEN tip_amount END AS tip_amount,
+       CASE trip_id % 3 WHEN 1 THEN trip_id % 5 WHEN 2 THEN trip_id % 7 / 4 END AS airport_fee
+FROM trips"""),
+    "audit_rows": """
+SELECT 'events.parquet' AS "table", count(*) AS n_rows, count(*) > 0 AS is_present FROM events
+UNION ALL SELECT 'orders.parquet', count(*), count(*) > 0 FROM orders
+UNION ALL SELECT 'lineitem.parquet', count(*), count(*) > 0 FROM lineitem
+UNION ALL SELECT 'taxi.parquet', 0, false""",
+    "amount_extremes": """
+SELECT l_returnflag, l_linestatus, count(amount) AS amounts,
+       CASE WHEN bool_or(isnan(kind)) THEN 'NaN'::DOUBLE ELSE round(sum(amount)::DOUBLE / 1e12, 6) END AS trillions,
+       CASE WHEN bool_or(isnan(kind)) THEN 'NaN'::DOUBLE ELSE round(sum(amount)::DOUBLE / count(amount) / 1e6, 6) END AS mean_millions
+FROM (
+    SELECT l_returnflag, l_linestatus,
+           CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 'NaN'::DOUBLE ELSE 0 END AS kind,
+           CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 0 WHEN l_linenumber = 6 THEN price * 10000000000
+               WHEN l_linenumber = 5 THEN price * 0.00001 WHEN l_linenumber < 5 THEN l_extendedprice::DECIMAL(28, 10)
+           END::DECIMAL(28, 10) AS amount
+    FROM (SELECT *, round(l_extendedprice)::DECIMAL(20, 0) AS price FROM lineitem)
+) GROUP BY 1, 2""",
     "stream_parse": with_ctes([TRIPS], TRIP_TEXT),
     "stream_scored": with_ctes([TRIPS, CENTROIDS, CENTER_TABLE, DISTANCES], """
 SELECT trip_id, PULocationID, latitude, longitude, cluster

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmarts.functions import money
 from tripmarts.operators import cleaning, clusters, features, joins, kmeans, locations, profile, sampling
 from tripmarts.runtime import cut_lineage, work_path
 from tripmarts.schemas import Bounds
@@ -52,8 +53,8 @@ def valid_trips(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.filter_values(cleaning.filter_times(star.event_trips(spark, folder)))
 
 
-def featured_trips(spark: SparkSession, folder: str) -> DataFrame:
-    return features.add_trip_features(valid_trips(spark, folder))
+def featured_trips(spark: SparkSession, folder: str, high_value: bool = True) -> DataFrame:
+    return features.add_trip_features(valid_trips(spark, folder), high_value)
 
 
 def located_trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -121,6 +122,27 @@ def scan_parquet(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_trips(spark, f"{folder}/events.parquet")
 
 
+@query
+def scan_drifted(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips in three sets of files: later ones lack a column, have a new one, and other types."""
+    path = work_path(spark, "drifted")
+    trips = star.event_trips(spark, folder).drop("tpep_dropoff_datetime")
+    month = F.col("trip_id") % 3
+    first = trips.filter(month == 0).withColumns({"passenger_count": F.col("passenger_count").cast("int")})
+    second = trips.filter(month == 1).drop("tip_amount").withColumn("airport_fee", (F.col("trip_id") % 5).cast("int"))
+    third = trips.filter(month == 2).withColumn("airport_fee", F.col("trip_id") % 7 / 4)
+    for name, part in (("m1", first), ("m2", second), ("m3", third)):
+        tables.write_table(part, f"{path}/{name}")
+    return tables.read_drifted(spark, path)
+
+
+@query
+def audit_rows(spark: SparkSession, folder: str) -> DataFrame:
+    expected = ["events.parquet", "orders.parquet", "lineitem.parquet", "taxi.parquet"]
+    audit = tables.audit_rows(spark, folder, expected)
+    return audit.groupBy("table").agg(F.sum("n_rows").alias("n_rows"), F.max("is_present").alias("is_present"))
+
+
 @query
 def write_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = work_path(spark, "roundtrip")
@@ -316,6 +338,24 @@ def location_stats(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(locations.location_stats(featured_trips(spark, folder)))
 
 
+@query
+def amount_extremes(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums and means of amounts with five decimals, of 1e14 and more, and NaN in one group."""
+    price = F.round("l_extendedprice")
+    amount = (
+        F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7), F.lit(float("nan")))
+        .when(F.col("l_linenumber") == 6, price * 1e10)
+        .when(F.col("l_linenumber") == 5, price / 100_000)
+        .when(F.col("l_linenumber") < 5, F.col("l_extendedprice"))
+    )
+    rows = star.table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", amount.alias("amount"))
+    found = rows.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count("amount").alias("amounts"), (money.amount_sum("amount") / 1e12).alias("trillions"),
+        (money.amount_mean("amount") / 1e6).alias("mean_millions"),
+    )
+    return rounded(found, 6)
+
+
 @query
 def location_stats_from_cells(spark: SparkSession, folder: str) -> DataFrame:
     cells = locations.time_cells(featured_trips(spark, folder))
@@ -338,7 +378,7 @@ def order_location_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def order_hotspot_labels(spark: SparkSession, folder: str) -> DataFrame:
-    trips = features.add_trip_features(valid_orders(spark, folder))
+    trips = features.add_trip_features(valid_orders(spark, folder), high_value=False)
     stats = locations.location_stats(trips)
     return rounded(
         locations.labelled_hotspots(stats, star.supplier_zones(spark, folder), "revenue", 20)
@@ -377,14 +417,14 @@ def daily_pattern(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def hotspot_labels(spark: SparkSession, folder: str) -> DataFrame:
-    stats = locations.location_stats(featured_trips(spark, folder))
+    stats = locations.location_stats(featured_trips(spark, folder, high_value=False))
     labelled = locations.labelled_hotspots(stats, star.nation_zones(spark, folder))
     return rounded(labelled, 6)
 
 
 @query
 def revenue_vs_volume(spark: SparkSession, folder: str) -> DataFrame:
-    stats = locations.location_stats(featured_trips(spark, folder))
+    stats = locations.location_stats(featured_trips(spark, folder, high_value=False))
     return rounded(locations.revenue_vs_volume(stats), 6)
 
 
@@ -493,7 +533,7 @@ def cluster_distribution(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def fare_tiers(spark: SparkSession, folder: str) -> DataFrame:
     """Tiers per location: their mean fares differ more than the clusters'."""
-    stats = locations.location_stats(featured_trips(spark, folder))
+    stats = locations.location_stats(featured_trips(spark, folder, high_value=False))
     return rounded(clusters.fare_tiers(stats, "PULocationID"))
 
 
@@ -564,6 +604,12 @@ def hash_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.hash_sample(star.event_trips(spark, folder), ["trip_id"], 0.1)
 
 
+@query
+def sample_10000(spark: SparkSession, folder: str) -> DataFrame:
+    """The validation sample of a fixed size."""
+    return sampling.fixed_sample(star.event_trips(spark, folder), ["trip_id"], 10_000)
+
+
 @query
 def random_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.random_sample(star.event_trips(spark, folder), 0.1)
@@ -571,9 +617,10 @@ def random_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
-    """Both parts put together again: every trip once."""
+    """Every trip once, with the part it falls into."""
     train, test = sampling.hash_split(star.event_trips(spark, folder), ["trip_id"])
-    return train.unionByName(test).select("trip_id")
+    parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return parts.select("trip_id", "part")
 
 
 # ---- streaming ----------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,54 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def widest(kinds: Sequence[T.DataType]) -> T.DataType:
+    """The type that holds values of all these: the widest number, or text if they are of different sorts."""
+    kinds = list(dict.fromkeys(kind for kind in kinds if not isinstance(kind, T.NullType))) or [T.NullType()]
+    if len(kinds) == 1:
+        return kinds[0]
+    if all(isinstance(kind, T.IntegralType) for kind in kinds):
+        return T.LongType()
+    if all(isinstance(kind, T.DecimalType | T.IntegralType) for kind in kinds):
+        decimals = [kind if isinstance(kind, T.DecimalType) else T.DecimalType(20, 0) for kind in kinds]
+        scale = max(kind.scale for kind in decimals)
+        return T.DecimalType(min(38, scale + max(kind.precision - kind.scale for kind in decimals)), scale)
+    if all(isinstance(kind, T.NumericType) for kind in kinds):
+        return T.DoubleType()
+    if all(isinstance(kind, T.DateType | T.TimestampNTZType) for kind in kinds):
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def read_drifted(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """All Parquet files of a folder as one table, though columns and types changed between them.
+
+    Files are grouped by the schema in their footers and each group is one scan, so filters and
+    column choices still reach the files. Columns are matched by name, in order of first appearance;
+    one that a file lacks is NULL there, and a column of several types becomes ``widest`` of them.
+    Only file names and footers are read before the scan.
+    """
+    _require(spark, path)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
+    files = sorted(row.path for row in listed.select("path").collect())
+    if not files:
+        raise FileNotFoundError(f"{path}/{pattern}")
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for file in files:
+        schema = spark.read.parquet(file).schema
+        groups.setdefault(schema.json(), (schema, []))[1].append(file)
+    kinds: dict[str, list[T.DataType]] = {}
+    for schema, _ in groups.values():
+        for field in schema:
+            kinds.setdefault(field.name, []).append(field.dataType)
+    parts = [
+        spark.read.schema(schema).parquet(*members).select(*[
+            (F.col(name) if name in schema.names else F.lit(None)).cast(widest(kinds[name])).alias(name) for name in kinds
+        ])
+        for schema, members in groups.values()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_features_or_raw(spark: SparkSession, features: str, raw: str) -> DataFrame:
     """The table with features if it exists, else the raw trips."""
     if path_exists(spark, features):
@@ -146,6 +195,28 @@ def audit_files(spark: SparkSession, folder: str, expected: Sequence[str]) -> Da
     )
 
 
+def audit_rows(spark: SparkSession, folder: str, expected: Sequence[str]) -> DataFrame:
+    """One row per input file of each expected Parquet table: ``table, file, n_rows, bytes, is_present``.
+
+    Counts come from the files' own rows through Spark's hidden ``_metadata`` columns. An expected
+    table that is missing, or that holds no row, has one row without a file.
+    """
+    wanted = spark.createDataFrame([(name,) for name in expected], "table STRING")
+    found = [
+        read_table(spark, f"{folder}/{name}")
+        .groupBy(F.col("_metadata.file_name").alias("file"))
+        .agg(F.count("*").alias("n_rows"), F.max("_metadata.file_size").alias("bytes"))
+        .select(F.lit(name).alias("table"), "file", "n_rows", "bytes")
+        for name in dict.fromkeys(expected) if path_exists(spark, f"{folder}/{name}")
+    ]
+    empty = spark.createDataFrame([], "table STRING, file STRING, n_rows BIGINT, bytes BIGINT")
+    counted = reduce(DataFrame.unionByName, found, empty)
+    return wanted.join(counted, "table", "left").select(
+        "table", "file", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("bytes", F.lit(0)).alias("bytes"),
+        F.col("file").isNotNull().alias("is_present"),
+    )
+
+
 def audit_summary(audit: DataFrame) -> DataFrame:
     """One row: expected files, present files, their size in GB, and the missing names."""
     return audit.agg(
