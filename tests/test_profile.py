@@ -86,12 +86,12 @@ def test_info(table):
 
 
 def test_exact_quantiles_in_the_columns_type(spark, monkeypatch):
-    monkeypatch.setattr(profile, "RANGE_ROWS", 7)
+    monkeypatch.setattr(profile, "RANGE_ROWS", 300)
     big = 2**60
     rows = [(big + n % 1000, decimal.Decimal(n) / 1000, float(n % 300), None) for n in range(4000)]
     rows += [(None, None, float("nan"), None)] * 50 + [(None, None, float("inf"), None)] * 50
     df = spark.createDataFrame(rows, "a BIGINT, d DECIMAL(12,3), x DOUBLE, e INT").repartition(5)
-    fractions = [0.0, 0.25, 0.5, 0.99, 1.0]
+    fractions = [0.0, 0.25, 0.5, 0.985, 1.0]
     found = profile.exact_quantiles(df, df.columns, fractions, 64)
 
     def expected(values):

@@ -72,25 +72,33 @@ def exact_quantiles(
     """The value at each fraction of numeric columns, in the column's own type; None for a column without values.
 
     Infinities come before NaN, NULLs do not count. Sketches give brackets of some 2 * RANK_ERROR of
-    the rows; a second scan counts what lies below each, and the values inside are counted and put
-    in order over ranges of values, so no task sorts a whole bracket. One number per quantile and
-    one row per range reach the driver.
+    the rows; a second scan counts what lies below and inside each, and the values inside are counted
+    and put in order over ranges of values, so no task sorts a whole bracket. A bracket that misses
+    its rank gives way to all values. Two numbers per quantile and one row per range reach the driver.
     """
     numbered = dict(enumerate(columns))
     kinds = {i: df.schema[name].dataType for i, name in numbered.items()}
     found: dict[tuple[int, int], object] = {}
     brackets = _brackets(df, numbered, fractions, size)
     as_double = {i: F.nanvl(F.col(name).cast("double"), F.lit(float("inf"))) for i, name in numbered.items()}
-    below = [F.count_if(as_double[i] < low).alias(f"n{n}") for n, (i, _, _, low, _) in enumerate(brackets)]
-    # A bracket of one double is solved where its values are doubles, or longs that doubles tell apart.
-    single = [
-        low == high and abs(low) < 2.0**53 and not isinstance(kinds[i], T.DecimalType) for i, _, _, low, high in brackets
-    ]
-    open_ = [n for n, solved in enumerate(single) if not solved]
-    counts = df.agg(*[below[n] for n in open_]).first() if open_ else {}
-    for n, (i, j, _, low, _) in enumerate(brackets):
-        if single[n]:
+    if not brackets:
+        return {name: [None] * len(fractions) for name in columns}
+    counts = df.agg(*[
+        F.count_if(condition).alias(f"{part}{n}")
+        for n, (i, _, _, low, high) in enumerate(brackets)
+        for part, condition in (("below", as_double[i] < low), ("upto", as_double[i] <= high))
+    ]).first()
+    below = {n: counts[f"below{n}"] for n in range(len(brackets))}
+    open_ = []
+    for n, (i, j, rank, low, high) in enumerate(brackets):
+        if not below[n] < rank <= counts[f"upto{n}"]:
+            # The sketch was further off than it mostly is: all values are put in order then.
+            brackets[n], below[n] = (i, j, rank, -math.inf, math.inf), 0
+        elif low == high and abs(low) < 2.0**53 and not isinstance(kinds[i], T.DecimalType):
+            # A bracket of one value that doubles tell from all others is solved.
             found[i, j] = int(low) if isinstance(kinds[i], T.IntegralType) else low
+            continue
+        open_.append(n)
     groups: dict[str, list[int]] = {}
     for n in open_:
         kind = kinds[brackets[n][0]]
@@ -102,7 +110,7 @@ def exact_quantiles(
             for n, (i, _, _, low, high) in ((n, brackets[n]) for n in members)
         ]
         rows = df.select(F.inline(F.array_compact(F.array(*inside)))).groupBy("bracket", "value").agg(F.count("*").alias("rows"))
-        wanted = {n: brackets[n][2] - counts[f"n{n}"] for n in members}
+        wanted = {n: brackets[n][2] - below[n] for n in members}
         for n, value in _at_ranks(rows, wanted).items():
             found[brackets[n][:2]] = value
     return {name: [found.get((i, j)) for j in range(len(fractions))] for i, name in numbered.items()}
