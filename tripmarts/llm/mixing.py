@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmarts.llm.common import count_of
@@ -114,64 +115,80 @@ def schedule(blocks: dict[str, int], weights: dict[str, float], cycle: int | Non
         start += end + 1
 
 
-def mix(
+def _placed(
     documents: DataFrame, weights: dict[str, float], *, other_weight: float = 0.0, key: str = "doc_id",
     source: str = "source", block_docs: int = BLOCK_DOCS, cycle: int | None = None, numbered: int = NUMBERED,
-    ties: tuple[str, ...] = (),
+    ties: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """All columns of ``documents`` and ``mix_source, mix_block, mix_slot, mix_position``.
-
-    ``weights`` names the sources; rows of others, and of NULL, form one source of weight
-    ``other_weight``, and with weight 0 they follow when the others are through. Sorting by
-    ``mix_position`` gives the mix; nothing is dropped or repeated. Documents of a source keep an
-    order drawn from their keys; equal keys are ordered by the columns ``ties``, and without them in
-    any way. An empty table stays empty.
-
-    Numbering splits every source by key hash, so a source of any size is many tasks' work.
-    """
+    """The documents as one struct ``doc``, and ``part, block, slot, position``."""
     name = F.when(F.col(source).isin(*weights), F.col(source)).otherwise(OTHER) if weights else F.lit(OTHER)
-    rows = documents.withColumn("mix_source", name)
-    sizes = {row[0]: row[1] for row in rows.groupBy("mix_source").count().collect()}
+    marks = {f"tie{n}": F.col(tie) if isinstance(tie, str) else tie for n, tie in enumerate(ties)}
+    rows = documents.select(
+        F.struct("*").alias("doc"), name.alias("part"), F.col(key).alias("key"), *[tie.alias(n) for n, tie in marks.items()]
+    )
+    sizes = {row[0]: row[1] for row in rows.groupBy("part").count().collect()}
     blocks = {one: -(-size // block_docs) for one, size in sizes.items()}
     plan = schedule(blocks, weights | {OTHER: other_weight}, cycle)
     deals = count_of(max(sizes.values(), default=1), numbered)
-    rows = rows.withColumn("mix_deal", F.pmod(F.xxhash64(key), F.lit(deals)).cast("int"))
+    rows = rows.withColumn("deal", F.pmod(F.xxhash64("key"), F.lit(deals)).cast("int"))
     # One row for each source and deal: how many of the source's rows stand before.
-    counts = rows.groupBy("mix_source", "mix_deal").agg(F.count("*").alias("held"))
-    order = Window.partitionBy("mix_source").orderBy("mix_deal")
+    counts = rows.groupBy("part", "deal").agg(F.count("*").alias("held"))
+    order = Window.partitionBy("part").orderBy("deal")
     before = F.sum("held").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.select("mix_source", "mix_deal", F.coalesce(before, F.lit(0)).alias("mix_before"))
-    inside = Window.partitionBy("mix_source", "mix_deal").orderBy(F.xxhash64(key), key, *ties)
-    rows = rows.withColumn("mix_number", F.row_number().over(inside) - 1)
-    rows = rows.join(counts, ["mix_source", "mix_deal"])
-    number = F.col("mix_before") + F.col("mix_number")
-    rows = rows.withColumns({
-        "mix_block": F.floor(number / block_docs),
-        "mix_offset": number % block_docs,
-    })
+    counts = counts.select("part", "deal", F.coalesce(before, F.lit(0)).alias("before"))
+    inside = Window.partitionBy("part", "deal").orderBy(F.xxhash64("key"), "key", *marks)
+    rows = rows.withColumn("number", F.row_number().over(inside) - 1)
+    rows = rows.join(counts, ["part", "deal"])
+    number = F.col("before") + F.col("number")
+    rows = rows.withColumns({"block": F.floor(number / block_docs), "offset": number % block_docs})
     # The plan has a row for each source and phase, both bounded by the number of weights.
     phases = documents.sparkSession.createDataFrame(
-        plan, "mix_source string, first_block long, first_slot long, slots array<long>, cycle long"
+        plan, "part string, first_block long, first_slot long, slots array<long>, cycle long"
     )
-    phases = phases.groupBy("mix_source").agg(
-        F.array_sort(F.collect_list(F.struct("first_block", "first_slot", "slots", "cycle"))).alias("mix_phases")
+    phases = phases.groupBy("part").agg(
+        F.array_sort(F.collect_list(F.struct("first_block", "first_slot", "slots", "cycle"))).alias("phases")
     )
-    rows = rows.join(F.broadcast(phases), "mix_source")
-    phase = F.element_at(F.filter("mix_phases", lambda one: one["first_block"] <= F.col("mix_block")), -1)
-    rows = rows.withColumn("mix_phase", phase)
-    inner = F.col("mix_block") - F.col("mix_phase.first_block")
-    size = F.size("mix_phase.slots")
-    slot = F.col("mix_phase.first_slot") + F.floor(inner / size) * F.col("mix_phase.cycle") + F.get(
-        F.col("mix_phase.slots"), (inner % size).cast("int")
+    rows = rows.join(F.broadcast(phases), "part")
+    rows = rows.withColumn("phase", F.element_at(F.filter("phases", lambda one: one["first_block"] <= F.col("block")), -1))
+    inner = F.col("block") - F.col("phase.first_block")
+    size = F.size("phase.slots")
+    slot = F.col("phase.first_slot") + F.floor(inner / size) * F.col("phase.cycle") + F.get(
+        F.col("phase.slots"), (inner % size).cast("int")
     )
-    rows = rows.withColumn("mix_slot", slot.cast("long"))
-    position = (F.col("mix_slot") * block_docs + F.col("mix_offset")).cast("long")
-    rows = rows.withColumn("mix_position", position)
-    return rows.select(*documents.columns, "mix_source", "mix_block", "mix_slot", "mix_position")
+    rows = rows.withColumn("slot", slot.cast("long"))
+    rows = rows.withColumn("position", (F.col("slot") * block_docs + F.col("offset")).cast("long"))
+    return rows.select("doc", "part", "block", "slot", "position")
+
+
+def mix(documents: DataFrame, weights: dict[str, float], **options) -> DataFrame:
+    """All columns of ``documents`` and ``mix_source, mix_block, mix_slot, mix_position``.
+
+    ``weights`` names the sources; rows of others, and of NULL, form one source of weight
+    ``other_weight``, and with weight 0 they follow when the others are through. Sorting by
+    ``mix_position`` gives the mix; nothing is dropped or repeated. Documents of a source keep an
+    order drawn from their keys; equal keys are ordered by ``ties``, names or expressions over the
+    documents, and without them in any way. An empty table stays empty. A column of the documents
+    that has the name of one of the four, in any case, is returned with ``own_`` before its name.
+
+    Numbering splits every source by key hash, so a source of any size is many tasks' work.
+    Other options: ``key``, ``source``, ``block_docs``, ``cycle``, ``numbered``.
+    """
+    made = ("mix_source", "mix_block", "mix_slot", "mix_position")
+    taken, names = {name.lower() for name in (*made, *documents.columns)}, []
+    for name in documents.columns:
+        if name.lower() in made:
+            name = f"own_{name}"
+            while name.lower() in taken:
+                name = f"own_{name}"
+            taken.add(name.lower())
+        names.append(name)
+    rows = _placed(documents, weights, **options)
+    rest = [F.col(column).alias(name) for column, name in zip(("part", "block", "slot", "position"), made, strict=True)]
+    fields = [F.col("doc").getField(name).alias(new) for name, new in zip(documents.columns, names, strict=True)]
+    return rows.select(*fields, *rest)
 
 
 def in_mix_order(documents: DataFrame, weights: dict[str, float], **options) -> DataFrame:
-    """The documents, written in the order of :func:`mix`: files and rows of a file follow it."""
-    mixed = mix(documents, weights, **options)
-    ordered = mixed.repartitionByRange(F.col("mix_position")).sortWithinPartitions("mix_position")
-    return ordered.select(*documents.columns)
+    """The documents, all columns as they are, in the order of :func:`mix`: files and rows of a file follow it."""
+    rows = _placed(documents, weights, **options)
+    return rows.repartitionByRange(F.col("position")).sortWithinPartitions("position").select("doc.*")

@@ -12,9 +12,10 @@ Spark writes and reads the files, so the folder may be in any store and lost tas
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import uuid
-import zlib
 from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
@@ -193,7 +194,7 @@ RECORD_DDL = (
 def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column(0):
-            data = zlib.decompressobj(31).decompress(content.as_py())
+            data = unpacked(content.as_py())
             held, size = [], 0
             for head, block in parse_records(data):
                 if head["WARC-Type"] == "warcinfo":
@@ -222,6 +223,14 @@ def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pylist(held, schema=RECORD)
 
 
+def unpacked(content: bytes) -> bytes:
+    """The records of a file: all members of a gzip file, or the bytes of a plain one."""
+    if content[:2] != b"\x1f\x8b":
+        return content
+    with gzip.GzipFile(fileobj=io.BytesIO(content)) as members:
+        return members.read()
+
+
 def http_payload(block: bytes) -> bytes:
     head, _, body = block.partition(END)
     return unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body

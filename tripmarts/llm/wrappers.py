@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tripmarts.llm.common import kept
 
 TEXT = "#"
-# Elements nested deeper are taken as part of their parent.
+# Elements nested deeper are set side by side in the one at this depth, each with its own text.
 MAX_DEPTH = 120
 # Parts of a sequence beyond which it counts as irregular.
 MAX_PARTS = 32
@@ -60,6 +60,7 @@ _BOILER = set(
     "social popup modal overlay widget widgets pagination pager toolbar skip alert".split()
 )
 _BOILER_ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
+_READERS = set("comment comments commentlist disqus respond replies reply".split())
 _CONTENT = set("content article post entry story articlebody main text".split())
 
 
@@ -84,6 +85,32 @@ def parse(page: str) -> Node:
     """The token stream of a page as nested elements; missing end tags are put in."""
     root = Node("html")
     stack, at = [root], 0
+    # Open elements below the depth, and the node that last took text of each.
+    deep: list[list] = []
+
+    def holder() -> Node:
+        """Where text goes: below the depth to the outermost element that no article has, else the innermost block."""
+        if not deep:
+            return stack[-1]
+        entry = next((one for one in deep if one[0].tag in _DROPPED or one[0].roles & _BOILER_ROLES or one[0].names & _BOILER), None)
+        entry = entry or next((one for one in reversed(deep) if one[0].tag in _BLOCK), None)
+        if entry is None:
+            return stack[-1]
+        held, around = entry[1], stack[-1].children
+        if held is None or around[-1] is not held:
+            held = Node(entry[0].tag)
+            held.label, held.names, held.roles = entry[0].label, entry[0].names, entry[0].roles
+            entry[1] = held
+            around.append(held)
+        return held
+
+    def close_deep(tags: set[str], within: set[str]) -> None:
+        for n in range(len(deep) - 1, -1, -1):
+            if deep[n][0].tag in tags:
+                del deep[n:]
+                return
+            if deep[n][0].tag in within:
+                return
 
     def close(tags: set[str], within: set[str]) -> None:
         for n in range(len(stack) - 1, 0, -1):
@@ -96,19 +123,24 @@ def parse(page: str) -> Node:
     while at < len(page):
         found = _TOKEN.search(page, at)
         if found is None:
-            stack[-1].children.append(page[at:])
+            holder().children.append(page[at:])
             break
         if found.start() > at:
-            stack[-1].children.append(page[at : found.start()])
+            holder().children.append(page[at : found.start()])
         at = found.end()
         name = found[2] or found[5]
         if name is None:
             continue
         tag = name.lower()
         if found[1] or found[4]:
+            if any(one[0].tag == tag for one in deep):
+                while deep.pop()[0].tag != tag:
+                    pass
+                continue
             for n in range(len(stack) - 1, 0, -1):
                 if stack[n].tag == tag:
                     del stack[n:]
+                    deep.clear()
                     break
             continue
         attributes = found[3] or found[6] or ""
@@ -118,11 +150,17 @@ def parse(page: str) -> Node:
             continue
         if tag == "html":
             continue
+        ends = close_deep if deep else close
         if tag in _BLOCK:
-            close({"p"}, {"table", "td", "th", "li", "article", "section", "div", "body"} if tag != "p" else {"table", "td", "th", "button"})
+            ends({"p"}, {"table", "td", "th", "li", "article", "section", "div", "body"} if tag != "p" else {"table", "td", "th", "button"})
         if tag in _CLOSES:
-            close(*_CLOSES[tag])
+            ends(*_CLOSES[tag])
         if len(stack) > MAX_DEPTH:
+            one = Node(tag, attributes)
+            if tag in _VOID or attributes.endswith("/"):
+                holder().children.append(one)
+            else:
+                deep.append([one, None])
             continue
         node = Node(tag, attributes)
         stack[-1].children.append(node)
@@ -181,7 +219,7 @@ def fold(parts: list) -> list:
     out: list = []
     for part in parts:
         if out and out[-1][0] == part[0]:
-            out[-1] = [part[0], max(1, min(out[-1][1], part[1])), inf, merge(out[-1][3], part[3], same_page=True)]
+            out[-1] = [part[0], min(1, out[-1][1] + part[1]), inf, merge(out[-1][3], part[3], same_page=True)]
         else:
             out.append(part)
     for period in (2, 3, 4):
@@ -303,6 +341,8 @@ def boilerplate(wrapper: Wrapper, total: int, in_main: bool) -> bool:
         return True
     if wrapper.tag == "header":
         return not in_main
+    if wrapper.tag == "article" and wrapper.names & _READERS and not wrapper.names & _CONTENT:
+        return True
     if wrapper.tag in ("html", "body", "article", "main", TEXT, "("):
         return False
     return bool(wrapper.names & _BOILER) and not (wrapper.chars * 2 > total and not in_main)
