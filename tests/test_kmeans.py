@@ -122,3 +122,38 @@ def test_sweep(trips):
     assert all(r.status == "success" and r.throughput > 0 for r in rows)
     failed = kmeans.scale_sweep(trips, [100], "latitude", 1).first()
     assert failed.status == "error" and failed.error
+
+
+def test_plain_silhouette_equals_all_pairs(spark):
+    rows = [(float(n % 5), float(n * n % 7), n % 3) for n in range(60)] + [(50.0, 50.0, 9), (None, 1.0, 0), (1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "latitude double, longitude double, cluster int")
+    whole = [row for row in rows if None not in row]
+    values = []
+    for x, y, own in whole:
+        far = {}
+        for u, v, other in whole:
+            far.setdefault(other, []).append(((x - u) ** 2 + (y - v) ** 2) ** 0.5)
+        if len(far[own]) == 1:
+            values.append(0.0)
+            continue
+        a = sum(far[own]) / (len(far[own]) - 1)
+        b = min(sum(d) / len(d) for other, d in far.items() if other != own)
+        values.append((b - a) / max(a, b))
+    found = kmeans.euclidean_silhouette(df).first()
+    assert found.n_rows == len(whole)
+    assert found.silhouette == pytest.approx(sum(values) / len(values))
+    assert kmeans.euclidean_silhouette(df.limit(0)).first().silhouette is None
+    with pytest.raises(ValueError):
+        kmeans.euclidean_silhouette(df, max_points=5)
+
+
+def test_fit_does_not_depend_on_partitions(spark):
+    rows = [(n * 37 % 101 / 7, n * 53 % 97 / 3) for n in range(400)]
+    df = spark.createDataFrame(rows, "latitude double, longitude double")
+    fits = [kmeans.fit_all_rows(df.repartition(parts), 6) for parts in (1, 4, 7)]
+    assert len({str(kmeans.centers_of(model)) for model in fits}) == 1
+    few = df.limit(9)
+    model = kmeans.fit_all_rows(few, 20)
+    points = {tuple(row) for row in few.distinct().collect()}
+    assert {tuple(point) for _, point in kmeans.centers_of(model)} == points
+    assert model.summary.trainingCost == pytest.approx(0, abs=1e-9)

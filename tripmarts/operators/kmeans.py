@@ -8,7 +8,7 @@ over all rows, in a table whose size follows the number of points.
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
@@ -33,6 +33,8 @@ from tripmarts.schemas import (
 )
 
 WEIGHT = "point_rows"
+# Distinct points that the pairwise silhouette takes at most.
+PAIRED_POINTS = 10_000
 
 
 def distinct_points(df: DataFrame, columns: Sequence[str] = POINT, *, by: Sequence[str] = ()) -> DataFrame:
@@ -71,8 +73,9 @@ def fit(
     max_iter: int = MAX_ITER,
     tolerance: float = TOLERANCE,
     prediction: str = "cluster",
+    start: str = "k-means||",
 ) -> KMeansModel:
-    """Fit on the given rows; ``weight`` names the row count of collapsed points."""
+    """Fit on the given rows; ``weight`` names the row count of collapsed points, ``start`` MLlib's way to begin."""
     estimator = KMeans(
         k=k,
         seed=seed,
@@ -80,7 +83,7 @@ def fit(
         tol=tolerance,
         featuresCol="features",
         predictionCol=prediction,
-        initMode="k-means||",
+        initMode=start,
     )
     if weight:
         estimator = estimator.setWeightCol(weight)
@@ -88,6 +91,16 @@ def fit(
     return estimator.fit(with_vector(df.select(*names), columns))
 
 
+def in_fixed_order(points: DataFrame, columns: Sequence[str] = POINT) -> DataFrame:
+    """Points measured to be few in one sorted part, so that a fit does not depend on partitions; others as they are."""
+    return points.repartition(1).sortWithinPartitions(*columns) if is_small(points) else points
+
+
+def _start(points: int, k: int) -> str:
+    """With no more points than centres every point is a centre; oversampling might miss some."""
+    return "random" if points <= k else "k-means||"
+
+
 def fit_all_rows(
     df: DataFrame, k: int = CLUSTERS, columns: Sequence[str] = POINT, **options
 ) -> KMeansModel:
@@ -95,8 +108,9 @@ def fit_all_rows(
 
     Takes rows or weighted points, as do ``elbow`` and ``silhouette``.
     """
-    points = cut_lineage(distinct_points(df, columns))
-    return fit(points, k, columns, weight=WEIGHT, **options)
+    points = in_fixed_order(cut_lineage(distinct_points(df, columns)), columns)
+    start = _start(points.limit(k + 1).count(), k)
+    return fit(points, k, columns, weight=WEIGHT, start=start, **options)
 
 
 def centers_of(model: KMeansModel) -> list[Center]:
@@ -149,10 +163,10 @@ def elbow(
         if not keys:
             raise ValueError("a sample needs key columns")
         df = hash_sample(df, keys, fraction)
-    points = cut_lineage(distinct_points(df, columns))
-    rows = []
+    points = in_fixed_order(cut_lineage(distinct_points(df, columns)), columns)
+    few, rows = points.limit(max(ks, default=0) + 1).count(), []
     for k in ks:
-        model = fit(points, k, columns, weight=WEIGHT, **options)
+        model = fit(points, k, columns, weight=WEIGHT, start=_start(few, k), **options)
         cost = float(model.summary.trainingCost)
         rows.append((k, len(model.clusterCenters()), cost, k == selected))
     return df.sparkSession.createDataFrame(
@@ -209,6 +223,42 @@ def silhouette(
         dot = _dot([F.col(name) for name in columns], [c[f"s{i}"] for i in range(len(columns))])
         return norm + c["sq"] / c["n"] - 2 * dot / c["n"]
 
+    return _mean_silhouette(points, mean_distance, cluster, by)
+
+
+def euclidean_silhouette(
+    assigned: DataFrame, columns: Sequence[str] = POINT, *, cluster: str = "cluster", max_points: int = PAIRED_POINTS
+) -> DataFrame:
+    """Mean silhouette of all rows under plain Euclidean distance, and its band.
+
+    Roots do not add up from sums, so every distinct point meets every other: rows collapse to
+    weighted points first, and more than ``max_points`` of them are an error, not a sample. Take
+    ``sampling.fixed_sample`` of the rows before, or ``silhouette``. Without rows the result is NULL.
+    """
+    points = cut_lineage(distinct_points(assigned.filter(F.col(cluster).isNotNull()), columns, by=[cluster]))
+    if points.limit(max_points + 1).count() > max_points:
+        raise ValueError(f"more than {max_points} distinct points: measure a sample or squared distances")
+    groups = points.groupBy(cluster).agg(
+        F.sum(WEIGHT).alias("n"), F.collect_list(F.struct(*columns, WEIGHT)).alias("points")
+    )
+    profile = F.struct(F.col(cluster).alias("id"), "n", "points")
+    spread = points.repartition(F.col(columns[0])).withColumn("_clusters", groups.agg(F.collect_list(profile)).scalar())
+
+    def mean_distance(c: Column) -> Column:
+        def added(total: Column, point: Column) -> Column:
+            steps = [point[name] - F.col(name) for name in columns]
+            return total + point[WEIGHT] * F.sqrt(_dot(steps, steps))
+
+        return F.aggregate(c["points"], F.lit(0.0), added) / c["n"]
+
+    return _mean_silhouette(spread, mean_distance, cluster, ())
+
+
+def _mean_silhouette(
+    points: DataFrame, mean_distance: Callable[[Column], Column], cluster: str, by: Sequence[str]
+) -> DataFrame:
+    """Mean over weighted points that hold all clusters in ``_clusters``; a point counts itself out of its own."""
+    w = F.col(WEIGHT)
     own = F.filter("_clusters", lambda c: c["id"] == F.col(cluster))
     others = F.filter("_clusters", lambda c: c["id"] != F.col(cluster))
     scored = points.select(

@@ -108,6 +108,30 @@ def busiest_patterns(
     return best.select(key, F.inline("_pattern"))
 
 
+def temporal_patterns(
+    trips: DataFrame, n: int = 5, key: str = LOCATION, hour: str = "pickup_hour", day: str = "pickup_dayofweek"
+) -> DataFrame:
+    """Trips per hour and per weekday of the ``n`` busiest keys: (key, pattern, value, trips).
+
+    One scan and one aggregation of the trips, over the grouping sets (key, hour) and (key, weekday).
+    """
+    sets = [[F.col(key), F.col(hour)], [F.col(key), F.col(day)]]
+    counts = trips.groupingSets(sets, key, hour, day).agg(
+        F.count("*").alias("trips"), F.grouping(hour).alias("_by_day")
+    )
+    hourly = F.col("_by_day") == 0
+    entry = F.struct(
+        F.when(hourly, "hour").otherwise("weekday").alias("pattern"),
+        F.when(hourly, F.col(hour)).otherwise(F.col(day)).alias("value"),
+        "trips",
+    )
+    keys = counts.groupBy(key).agg(
+        F.sum(F.when(hourly, F.col("trips"))).alias("trip_count"), F.collect_list(entry).alias("_patterns")
+    )
+    best = keys.orderBy(*descending(keys, "trip_count", key)).limit(n)
+    return best.select(key, F.inline("_patterns"))
+
+
 def hourly_pattern(trips: DataFrame, n: int = 5, key: str = LOCATION, metric: str = "trip_count") -> DataFrame:
     return busiest_patterns(trips, "pickup_hour", n, key, metric)
 

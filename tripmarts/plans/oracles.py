@@ -302,6 +302,30 @@ score AS (
 # Bucket of a trip's key among a million, as the sampling functions find it.
 BUCKET = "CAST('0x' || substr(md5('42|' || event_id), 1, 12) AS BIGINT) % 1000000"
 
+# Every point of the test part against every other, with the trips at each.
+HELD_OUT = f"""
+held AS (
+    SELECT latitude, longitude, cluster, count(*) AS w FROM clustered JOIN events ON trip_id = event_id
+    WHERE {BUCKET} >= 800000 GROUP BY latitude, longitude, cluster
+),
+means AS (
+    SELECT p.latitude, p.longitude, p.cluster AS own, q.cluster AS other, p.w, sum(q.w) AS n,
+           sum(q.w * sqrt((p.latitude - q.latitude) * (p.latitude - q.latitude)
+                          + (p.longitude - q.longitude) * (p.longitude - q.longitude))) AS far
+    FROM held p, held q GROUP BY p.latitude, p.longitude, p.cluster, q.cluster, p.w
+),
+sides AS (
+    SELECT w, max(CASE WHEN own = other THEN n END) AS n,
+           max(CASE WHEN own = other THEN far / nullif(n - 1, 0) END) AS a,
+           min(CASE WHEN own <> other THEN far / n END) AS b
+    FROM means GROUP BY latitude, longitude, own, w
+),
+score AS (
+    SELECT CAST(sum(w) AS BIGINT) AS n_rows,
+           sum(w * CASE WHEN n <= 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END) / sum(w) AS s
+    FROM sides
+)"""
+
 ORACLES: dict[str, str] = {
     "scan_parquet": "SELECT * FROM events",
     "write_roundtrip": with_ctes([TRIPS], "SELECT * FROM trips"),
@@ -422,6 +446,11 @@ FROM best LEFT JOIN supplier ON PULocationID = s_suppkey"""),
     "daily_pattern": with_ctes(
         [*BASE, FEATURED], pattern("featured", "PULocationID", "count(*)", 5, "pickup_dayofweek", WEEKDAY)
     ),
+    "temporal_patterns": with_ctes([*BASE, FEATURED], f"""
+SELECT PULocationID, 'hour' AS pattern, pickup_hour AS value, trips
+FROM ({pattern("featured", "PULocationID", "count(*)", 5, "pickup_hour")})
+UNION ALL SELECT PULocationID, 'weekday', pickup_dayofweek, trips
+FROM ({pattern("featured", "PULocationID", "count(*)", 5, "pickup_dayofweek")})"""),
     "hotspot_labels": with_ctes([
         *ON_STATS,
         ZONES,
@@ -532,6 +561,13 @@ SELECT count(*) AS n_rows, round(sum(distance), 6) AS wssse FROM clustered"""),
 SELECT n_rows, round(s, 6) AS silhouette,
        CASE WHEN s > 0.5 THEN 'excellent' WHEN s > 0.25 THEN 'good' WHEN s > 0 THEN 'weak' ELSE 'poor' END AS band
 FROM score"""),
+    "silhouette_held_out": with_ctes([*ON_CLUSTERS, HELD_OUT], """
+SELECT n_rows, round(s, 6) AS silhouette,
+       CASE WHEN s > 0.5 THEN 'excellent' WHEN s > 0.25 THEN 'good' WHEN s > 0 THEN 'weak' ELSE 'poor' END AS band
+FROM score"""),
+    "kmeans_all_points": with_ctes(ON_CLUSTERS, """
+SELECT DISTINCT round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, CAST(0 AS DOUBLE) AS wssse
+FROM clustered"""),
     "hash_split": f"""
 SELECT event_id AS trip_id, CASE WHEN {BUCKET} >= 800000 THEN 'test' ELSE 'train' END AS part FROM events""",
     "hash_sample": with_ctes([TRIPS], f"SELECT trips.* FROM trips JOIN events ON event_id = trip_id WHERE {BUCKET} < 100000"),
@@ -564,6 +600,11 @@ FROM trips JOIN centroids p ON PULocationID = p.LocationID JOIN zone_clusters z
     "stream_cluster_counts": with_ctes([TRIPS, CENTROIDS, CENTER_TABLE, DISTANCES], """
 SELECT cluster, count(*) AS trip_count
 FROM trips JOIN zone_clusters ON PULocationID = LocationID GROUP BY cluster"""),
+    "stream_batches": """
+SELECT CAST(5 AS BIGINT) AS n_batches, CAST(4 AS BIGINT) AS last_batch, count(*) AS n_rows, true AS is_even FROM events""",
+    "stream_model_counts": with_ctes([TRIPS, CENTROIDS, CENTER_TABLE, DISTANCES], """
+SELECT round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, count(*) AS trip_count
+FROM trips JOIN zone_clusters ON PULocationID = LocationID JOIN centers USING (cluster) GROUP BY ALL"""),
     "stream_top_locations": with_ctes([TRIPS], """
 SELECT PULocationID, count(*) AS trip_count FROM trips GROUP BY PULocationID
 ORDER BY trip_count DESC, PULocationID LIMIT 10"""),

@@ -26,6 +26,10 @@ CENTERS = [(0, (40.5, -74.2)), (1, (40.575, -74.1)), (2, (40.65, -74.0)), (3, (4
 # Longest order-to-shipment time that counts as valid, in hours.
 ORDER_HOURS = 90 * 24
 
+# Batches of a paced stream, and the most messages of a file of it.
+BATCHES = 5
+MESSAGES_PER_FILE = 1_000_000
+
 TRIP_MESSAGE = """
     trip_id BIGINT, tpep_pickup_datetime STRING, tpep_dropoff_datetime STRING, PULocationID BIGINT,
     passenger_count DOUBLE, trip_distance DOUBLE, fare_amount DOUBLE, tip_amount DOUBLE
@@ -415,6 +419,11 @@ def daily_pattern(spark: SparkSession, folder: str) -> DataFrame:
     return locations.daily_pattern(features.add_time_features(valid_trips(spark, folder)))
 
 
+@query
+def temporal_patterns(spark: SparkSession, folder: str) -> DataFrame:
+    return locations.temporal_patterns(features.add_time_features(valid_trips(spark, folder)))
+
+
 @query
 def hotspot_labels(spark: SparkSession, folder: str) -> DataFrame:
     stats = locations.location_stats(featured_trips(spark, folder, high_value=False))
@@ -568,6 +577,22 @@ def silhouette_pinned(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(kmeans.silhouette(assigned), 6)
 
 
+@query
+def silhouette_held_out(spark: SparkSession, folder: str) -> DataFrame:
+    """Plain distances, over the trips of the test part."""
+    held_out = trip_points(spark, folder).filter(sampling.in_test_part(["trip_id"]))
+    assigned = clusters.assign_nearest(kmeans.distinct_points(held_out), CENTERS)
+    return rounded(kmeans.euclidean_silhouette(assigned), 6)
+
+
+@query
+def kmeans_all_points(spark: SparkSession, folder: str) -> DataFrame:
+    """With more centres than points every point is a centre, and the cost is 0."""
+    model = kmeans.fit_all_rows(zone_points(spark, folder), 100)
+    found = kmeans.centers_table(spark, kmeans.centers_of(model)).drop("cluster")
+    return rounded(found.withColumn("wssse", F.lit(float(model.summary.trainingCost))), 6)
+
+
 @query
 def kmeans_full(spark: SparkSession, folder: str) -> DataFrame:
     """Fit on all trips, then statistics of the fitted clusters, from one scan."""
@@ -673,6 +698,40 @@ def stream_top_locations(spark: SparkSession, folder: str) -> DataFrame:
     return _running(live.running_top_locations(trips))
 
 
+def _paced(spark: SparkSession, trips: DataFrame) -> DataFrame:
+    """The trips as a stream of BATCHES batches; their files grow in number with the table."""
+    each = -(-trips.count() // (BATCHES * MESSAGES_PER_FILE)) or 1
+    path = work_path(spark, "messages")
+    tables.write_table(messages.to_messages(trips).repartition(BATCHES * each), path)
+    return live.message_stream(spark, "parquet", path, {"maxFilesPerTrigger": str(each)})
+
+
+@query
+def stream_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The pace of the stream: its batches, their rows, and whether none has over twice the rows of another."""
+    path = work_path(spark, "pace")
+    stream = _paced(spark, star.event_trips(spark, folder))
+    sinks.to_batch_counts(stream, path, work_path(spark, "checkpoint"), sinks.DONE).awaitTermination()
+    return spark.read.parquet(path).agg(
+        F.count("*").alias("n_batches"),
+        F.max("batch").alias("last_batch"),
+        F.sum("n_rows").alias("n_rows"),
+        (F.max("n_rows") <= 2 * F.min("n_rows")).alias("is_even"),
+    )
+
+
+@query
+def stream_model_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """A model fitted on four zones, saved, loaded, and applied to the trips of several batches."""
+    points = star.nation_centroids(spark, folder)
+    path = work_path(spark, "model")
+    kmeans.save_model(kmeans.fit_all_rows(points.filter(F.col("LocationID").isin(0, 5, 10, 15)), 4), path)
+    model = kmeans.load_model(path)
+    counts = _running(live.live_counts(_paced(spark, star.event_trips(spark, folder)), points, model))
+    found = kmeans.centers_table(spark, kmeans.centers_of(model))
+    return rounded(counts.join(found, "cluster").select("latitude", "longitude", "trip_count"), 6)
+
+
 @query
 def stream_live_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Top locations over six batches of one file each, the last one malformed, with the full message schema."""

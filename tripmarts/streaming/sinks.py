@@ -72,6 +72,20 @@ def to_snapshots(
     )
 
 
+def to_batch_counts(
+    df: DataFrame, path: str, checkpoint: str, trigger: dict = EVERY_5_SECONDS
+) -> StreamingQuery:
+    """Record the pace: a row (batch, n_rows) for each batch. A repeated batch replaces its own row."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        count = rows.agg(F.count("*").alias("n_rows")).select(F.lit(batch).cast("bigint").alias("batch"), "n_rows")
+        count.write.mode("overwrite").parquet(f"{path}/of_batch={batch}")
+
+    return (
+        df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
 def latest_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The running result of the last batch; with a schema, empty if no batch has been written.
 
