@@ -698,11 +698,13 @@ def stream_top_locations(spark: SparkSession, folder: str) -> DataFrame:
     return _running(live.running_top_locations(trips))
 
 
-def _paced(spark: SparkSession, trips: DataFrame) -> DataFrame:
-    """The trips as a stream of BATCHES batches; their files grow in number with the table."""
+def _paced(spark: SparkSession, trips: DataFrame, malformed: DataFrame | None = None) -> DataFrame:
+    """The trips as a stream of BATCHES batches, malformed messages as one more; files grow in number with the table."""
     each = -(-trips.count() // (BATCHES * MESSAGES_PER_FILE)) or 1
     path = work_path(spark, "messages")
     tables.write_table(messages.to_messages(trips).repartition(BATCHES * each), path)
+    if malformed is not None:
+        malformed.repartition(each).write.mode("append").parquet(path)
     return live.message_stream(spark, "parquet", path, {"maxFilesPerTrigger": str(each)})
 
 
@@ -734,10 +736,7 @@ def stream_model_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_live_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Top locations over six batches of one file each, the last one malformed, with the full message schema."""
-    path = work_path(spark, "messages")
+    """Top locations over six batches, the last one malformed, with the full message schema."""
     trips = star.event_trips(spark, folder)
-    tables.write_table(messages.to_messages(trips).repartition(5), path)
     broken = trips.filter(F.col("tip_amount") > 0).select(F.concat(F.lit("no trip "), F.col("trip_id")).alias("value"))
-    broken.repartition(1).write.mode("append").parquet(path)
-    return _running(live.live_counts(live.message_stream(spark, "parquet", path, {"maxFilesPerTrigger": "1"})))
+    return _running(live.live_counts(_paced(spark, trips, broken)))
