@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmarts.llm import simhash
 from tripmarts.llm.common import count_of, words
 
 CAPACITY = 2048
@@ -97,6 +98,29 @@ def _pack_shard(capacity: int, shards: int | None):
     return pack
 
 
+def with_near_copies(
+    documents: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", **options,
+) -> DataFrame:
+    """``doc_id, source, text_hash, size, cluster`` of every row, for :func:`pack` with these names.
+
+    A cluster is a component of near copies, as :func:`simhash.grouped` finds them with ``options``;
+    a row of NULL or repeated id takes that of its own text. Repeated rows are kept, each with its
+    cluster; names of other columns do not matter, as none is read. An empty table stays empty.
+    """
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    sizes = documents.select(
+        F.col(key).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
+        F.xxhash64(body).alias("text_hash"), F.size(words(body)).alias("size"),
+    )
+    found = simhash.grouped(documents, key=key, text=text, **options)
+    # Equal texts have one component, so there is one row for each id and text.
+    found = found.groupBy(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).agg(
+        F.min("component").alias("cluster")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash"))
+    return sizes.join(found, same, "left").drop("found_id", "found_hash")
+
+
 def pack(
     documents: DataFrame, *, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS, key: str = "doc_id",
     text: str = "text", source: str = "source", cluster: str | None = None, size: str | None = None,
@@ -108,8 +132,9 @@ def pack(
     pieces, each a bin of its own, and a remainder that is packed; nothing is dropped. No bin holds
     two documents of one source or of one duplicate cluster (column ``cluster``; by default equal
     texts are a cluster). NULL sources and clusters conflict with nothing; NULL and negative sizes
-    count as 0, and a document of size 0 takes a place of its own in a bin. Shards by hash of key
-    and text are packed apart, each largest first, ties by key, so the result is the same in every run.
+    count as 0, and a document of size 0 takes a place of its own in a bin. Shards by hash of key,
+    text and the number of a copy are packed apart, each largest first, ties by key, so the result is
+    the same in every run and rows equal in all of these, which are counted first, fill no shard.
 
     With column ``position``, the different places of the documents in a mix, every ``shard_docs``
     places in a row are a shard instead, and bins are numbered in the order of the mix: all bins of
@@ -129,6 +154,9 @@ def pack(
         rows = documents.select(*columns, place.alias("position"), F.floor(place / shard_docs).cast("long").alias("shard"))
         return rows.groupBy("shard").applyInPandas(_pack_shard(capacity, None), PACKED)
     rows = documents.select(*columns, F.xxhash64(F.col(key), body).alias("mixed"))
+    alike = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
     shards = count_of(documents.count(), shard_docs)
-    rows = rows.withColumn("shard", F.pmod("mixed", F.lit(shards)).cast("int")).drop("mixed")
+    rows = alike.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    shard = F.when(F.col("copies") == 1, F.col("mixed")).otherwise(F.xxhash64("mixed", "copy"))
+    rows = rows.withColumn("shard", F.pmod(shard, F.lit(shards)).cast("int")).drop("mixed", "copies", "copy")
     return rows.groupBy("shard").applyInPandas(_pack_shard(capacity, shards), PACKED)

@@ -56,7 +56,8 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"))
+    documents = kept(packing.with_near_copies(table(spark, folder, "documents")), "clusters")
+    return packing.pack(documents, text="text_hash", size="size", cluster="cluster")
 
 
 @query

@@ -28,6 +28,8 @@ END = b"\r\n\r\n"
 SEGMENT_BYTES = 1 << 18
 CHUNK_BYTES = 1 << 14
 FILE_BYTES = 1 << 25
+# Further copies of a record that one row makes.
+COPIES = 4096
 # Characters of a header value that stay as they are.
 PLAIN = "".join(chr(code) for code in range(0x21, 0x7F) if chr(code) not in '%<>"')
 
@@ -61,8 +63,10 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(key, url: str | None, digest: str) -> str:
-    name = hashlib.sha1(repr((key, url, digest)).encode("utf-8", "surrogatepass")).digest()
+def record_id(key, url: str | None, digest: str, copy: int = 1) -> str:
+    """The id of a record, and of further copies of it."""
+    parts = (key, url, digest) if copy == 1 else (key, url, digest, copy)
+    name = hashlib.sha1(repr(parts).encode("utf-8", "surrogatepass")).digest()
     return f"<urn:uuid:{uuid.UUID(bytes=name[:16], version=5)}>"
 
 
@@ -126,19 +130,38 @@ def write_archives(
 
     Equal payloads of ``min_revisit_bytes`` or more are stored once, in the record with the
     smallest key (NULL keys last, then the smallest URL); the others are ``revisit`` records.
-    A NULL payload is empty. Rows equal in key, URL and payload are copies of one record: copies
-    of a response are responses with the same id, and reading returns each of them.
+    A NULL payload is empty. Of rows equal in key, URL and payload one is the response and the
+    others revisit it, each under an id of its own; smaller payloads are all responses, copies with
+    the same id, and reading returns each of them.
     """
     rows = pages.select(
         F.col(key).cast("long").alias("page_id"),
         F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumns({"sha1": F.sha1("payload"), "size": F.octet_length("payload")})
-    order = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("url"))
-    firsts = rows.groupBy("sha1", "size").agg(F.min(order).alias("first"))
-    firsts = firsts.select("sha1", "size", F.struct("first.page_id", "first.url").alias("first"))
-    rows = rows.join(firsts, ["sha1", "size"])
-    rows = rows.select("page_id", "url", "payload", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"))
+    alike = rows.groupBy("sha1", "size", "page_id", "url").agg(F.count("*").alias("copies"))
+    order = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("url"), F.col("copies"))
+    firsts = alike.groupBy("sha1", "size").agg(F.min(order).alias("first"))
+    firsts = firsts.select(
+        "sha1", "size", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"),
+        F.when(F.col("size") >= min_revisit_bytes, F.col("first.copies")).otherwise(1).alias("copies"),
+    )
+    own = F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("url").eqNullSafe(F.col("first_url"))
+    columns = ("page_id", "url", "payload", "sha1", "first_id", "first_url", "copy")
+    single = rows.join(firsts, ["sha1", "size"]).filter(~own | (F.col("copies") == 1))
+    single = single.withColumn("copy", F.lit(1).cast("long")).select(*columns)
+    # Copies of a response are counted, not numbered: one of them is written, the rest are made of the count.
+    repeated = firsts.filter("copies > 1")
+    one = rows.join(repeated, ["sha1", "size"]).filter(own).dropDuplicates(["sha1", "size"])
+    one = one.withColumn("copy", F.lit(1).cast("long")).select(*columns)
+    more = repeated.withColumn("run", F.explode(F.sequence(F.lit(2).cast("long"), "copies", F.lit(COPIES).cast("long"))))
+    more = more.repartition("sha1", "run").withColumn(
+        "copy", F.explode(F.sequence("run", F.least(F.col("run") + (COPIES - 1), F.col("copies"))))
+    )
+    more = more.select(
+        F.col("first_id").alias("page_id"), F.col("first_url").alias("url"), F.lit(None).cast("binary").alias("payload"), *columns[3:]
+    )
+    rows = single.unionByName(one).unionByName(more)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         info = record("warcinfo", [("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
@@ -158,9 +181,9 @@ def write_archives(
         if held:
             yield flushed()
 
-    def _page_records(page_id, address, payload, first_id, first_url):
-        digest = payload_digest(payload)
-        identity = record_id(page_id, address, digest)
+    def _page_records(page_id, address, payload, sha1, first_id, first_url, copy):
+        digest = base64.b32encode(bytes.fromhex(sha1)).decode()
+        identity = record_id(page_id, address, digest, copy)
         fields = [
             ("WARC-Record-ID", identity),
             ("Page-ID", page_id),
@@ -169,7 +192,7 @@ def write_archives(
             ("Content-Type", "application/http; msgtype=response"),
         ]
         http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
-        if len(payload) >= min_revisit_bytes and (page_id, address) != (first_id, first_url):
+        if copy > 1 or (len(payload) >= min_revisit_bytes and (page_id, address) != (first_id, first_url)):
             refers = ("WARC-Refers-To", record_id(first_id, first_url, digest))
             yield record("revisit", [*fields, refers], http)
         else:
