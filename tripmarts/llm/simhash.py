@@ -58,6 +58,19 @@ def _majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
 
 
+def long_fingerprint(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """SimHash of hashes in a multiple of 64 bits, as bytes; zero without hashes. Each 64 bits mix the hashes anew."""
+    counts = np.zeros(bits, np.int64)
+    seeds = np.arange(1, bits // BITS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for start in range(0, len(hashes), 1 << 12):
+        mixed = hashes[start : start + (1 << 12), None] + seeds
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+        mixed ^= mixed >> np.uint64(31)
+        counts += np.unpackbits(mixed.view(np.uint8), axis=1).sum(axis=0, dtype=np.int32)
+    return np.packbits(counts * 2 > len(hashes))
+
+
 def fingerprints(
     documents: DataFrame, *, key: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
