@@ -89,3 +89,9 @@ def test_silhouette_counts_points_once(spark):
     trips = queries.trip_points(spark, FOLDER)
     text = final_plan(kmeans.silhouette(clusters.assign_nearest(trips, queries.CENTERS)))
     assert "ReusedExchange" in text
+
+
+@pytest.mark.parametrize("query", [queries.order_location_stats, queries.clean_location_stats])
+def test_derived_trips_are_computed_once_for_the_flag(spark, query):
+    text = final_plan(query(spark, FOLDER))
+    assert "lineitem.parquet" not in text and "orders.parquet" not in text and "events.parquet" not in text

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmarts.operators.cleaning import percent
-from tripmarts.runtime import work_path
+from tripmarts.runtime import stored
 
 # Sketch size: some 80 kB, with a rank error within RANK_ERROR.
 SKETCH_SIZE = 4096
@@ -116,19 +116,12 @@ def exact_quantiles(
     return {name: [found.get((i, j)) for j in range(len(fractions))] for i, name in numbered.items()}
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """The rows computed once, as a table below the shared folder."""
-    path = work_path(df.sparkSession, "ranks")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _at_ranks(rows: DataFrame, wanted: dict[int, int]) -> dict[int, object]:
     """The value at a rank of each ``bracket`` of ``bracket, value, rows``: ranges first, then the one range that holds it."""
-    rows = _stored(rows)
+    rows = stored(rows, "ranks")
     parts = max(1, -(-rows.count() // RANGE_ROWS))
     if parts > 1:
-        placed = _stored(rows.repartitionByRange(parts, "bracket", "value").withColumn("part", F.spark_partition_id()))
+        placed = stored(rows.repartitionByRange(parts, "bracket", "value").withColumn("part", F.spark_partition_id()), "ranks")
     else:
         placed = rows.withColumn("part", F.lit(0))
     sums = placed.groupBy("bracket", "part").agg(F.sum("rows").alias("rows")).orderBy("bracket", "part").collect()

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from tripmarts.functions import money
 from tripmarts.operators import cleaning, clusters, features, joins, kmeans, locations, profile, sampling
-from tripmarts.runtime import cut_lineage, work_path
-from tripmarts.schemas import Bounds
+from tripmarts.runtime import cut_lineage, stored, work_path
+from tripmarts.schemas import LOCATION, Bounds
 from tripmarts.sources import messages, star, tables
 from tripmarts.streaming import sinks
 from tripmarts.streaming import trips as live
@@ -118,6 +118,13 @@ def valid_orders(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.filter_values(cleaning.filter_times(trips, max_hours=ORDER_HOURS))
 
 
+def flagged_stats(trips: DataFrame) -> DataFrame:
+    """Location statistics of derived trips, which are computed once: the exact threshold takes scans of its own."""
+    trips = features.add_trip_features(trips, high_value=False)
+    used = [LOCATION, "fare_amount", "total_revenue", "trip_distance", "trip_duration_minutes"]
+    return locations.location_stats(features.add_high_value_flag(stored(trips.select(*used), "trips")))
+
+
 # ---- sources and sinks --------------------------------------------------------------
 
 
@@ -369,15 +376,14 @@ def location_stats_from_cells(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def clean_location_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Clean with duplicates removed, features, zone names, location statistics, top 20."""
-    trips = features.add_trip_features(cleaning.clean_trips(repeated(star.event_trips(spark, folder))))
-    best = locations.top_locations(locations.location_stats(trips), "trips", 20)
+    trips = cleaning.clean_trips(repeated(star.event_trips(spark, folder)))
+    best = locations.top_locations(flagged_stats(trips), "trips", 20)
     return rounded(joins.join_zones(best, star.nation_zones(spark, folder)))
 
 
 @query
 def order_location_stats(spark: SparkSession, folder: str) -> DataFrame:
-    trips = features.add_trip_features(valid_orders(spark, folder))
-    return rounded(locations.location_stats(trips))
+    return rounded(flagged_stats(valid_orders(spark, folder)))
 
 
 @query

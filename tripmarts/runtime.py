@@ -45,6 +45,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows computed once, as a table below the shared folder."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_work(spark: SparkSession) -> None:
     """Delete the tables below the shared folder; no result that still reads them may be in use."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tripmarts")
