@@ -121,3 +121,17 @@ def test_one_of_equal_pages_is_the_response(spark, monkeypatch, least):
     assert found == wanted
     ids = [r.record_id for r in records.filter("page_id = 3").collect()]
     assert len(set(ids)) == len(ids) == 6
+
+
+def test_payloads_are_shuffled_once_without_equal_rows(spark, monkeypatch):
+    rows = [(n, f"u{n}", f"<p>{n % 7}</p>") for n in range(40)]
+    df, plans = spark.createDataFrame(rows, "page_id long, url string, html string"), []
+    whole = type(df).mapInArrow
+
+    def spy(self, *args, **options):
+        plans.append(self._jdf.queryExecution().optimizedPlan().toString())
+        return whole(self, *args, **options)
+
+    monkeypatch.setattr(type(df), "mapInArrow", spy)
+    warc.write_archives(df, work_path(spark, "warc"))
+    assert [text.count("Join ") for text in plans] == [1]

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmarts.llm.common import kept
+
 END = b"\r\n\r\n"
 SEGMENT_BYTES = 1 << 18
 CHUNK_BYTES = 1 << 14
@@ -142,16 +144,17 @@ def write_archives(
     alike = rows.groupBy("sha1", "size", "page_id", "url").agg(F.count("*").alias("copies"))
     order = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("url"), F.col("copies"))
     firsts = alike.groupBy("sha1", "size").agg(F.min(order).alias("first"))
-    firsts = firsts.select(
+    firsts = kept(firsts.select(
         "sha1", "size", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"),
         F.when(F.col("size") >= min_revisit_bytes, F.col("first.copies")).otherwise(1).alias("copies"),
-    )
+    ), "firsts")
     own = F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("url").eqNullSafe(F.col("first_url"))
     columns = ("page_id", "url", "payload", "sha1", "first_id", "first_url", "copy")
     single = rows.join(firsts, ["sha1", "size"]).filter(~own | (F.col("copies") == 1))
     single = single.withColumn("copy", F.lit(1).cast("long")).select(*columns)
     # Copies of a response are counted, not numbered: one of them is written, the rest are made of the count.
-    repeated = firsts.filter("copies > 1")
+    # They are mostly few, or none: known beforehand, they cost no second shuffle of the payloads.
+    repeated = kept(firsts.filter("copies > 1"), "repeated")
     one = rows.join(repeated, ["sha1", "size"]).filter(own).dropDuplicates(["sha1", "size"])
     one = one.withColumn("copy", F.lit(1).cast("long")).select(*columns)
     more = repeated.withColumn("run", F.explode(F.sequence(F.lit(2).cast("long"), "copies", F.lit(COPIES).cast("long"))))
@@ -161,7 +164,7 @@ def write_archives(
     more = more.select(
         F.col("first_id").alias("page_id"), F.col("first_url").alias("url"), F.lit(None).cast("binary").alias("payload"), *columns[3:]
     )
-    rows = single.unionByName(one).unionByName(more)
+    rows = single if repeated.isEmpty() else single.unionByName(one).unionByName(more)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         info = record("warcinfo", [("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
